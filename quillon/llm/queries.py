@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .language import op2_language
 from .mixing import op6_mixing
 from .sharding import op8_sharding
+from .simhash import op4_simhash
+from .toxicity import op3_toxicity
 
-QUERIES = {f.__name__: f for f in (op6_mixing, op7_decontaminate, op8_sharding, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_language, op3_toxicity, op4_simhash, op6_mixing, op7_decontaminate, op8_sharding, op9_exact_dedup)}
 SQL = {"op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}
