@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .language import op2_language
+from .licenses import op5_licenses
 from .lm_score import op1_lm_score
 from .mixing import op6_mixing
 from .pii import op10_pii
@@ -12,5 +13,5 @@ from .sharding import op8_sharding
 from .simhash import op4_simhash
 from .toxicity import op3_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_language, op3_toxicity, op4_simhash, op6_mixing, op7_decontaminate, op8_sharding, op9_exact_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_language, op3_toxicity, op4_simhash, op5_licenses, op6_mixing, op7_decontaminate, op8_sharding, op9_exact_dedup, op10_pii)}
 SQL = {"op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}
