@@ -64,13 +64,17 @@ def partial_ratio_of_equal(needle: str, hay: str) -> float:
     return max((2 * common_length(masks, full, w) / (m + len(w)) for w in ends), default=0.0)
 
 
-def token_span(hay: str, start: int, end: int) -> tuple[int, int]:
-    """The span widened to whole words."""
-    while start > 0 and hay[start - 1] != " ":
-        start -= 1
-    while end < len(hay) and hay[end] != " " and hay[max(end - 1, 0)] != " ":
-        end += 1
-    return start, end
+def word_span(needle: str, hay: str) -> tuple[int, int]:
+    """The run of as many words as needle has that is most like it; the first of equals."""
+    words, n = hay.split(" "), len(needle.split(" "))
+    starts = [0]
+    for w in words:
+        starts.append(starts[-1] + len(w) + 1)
+    full, masks = (1 << len(needle)) - 1, {}
+    for i, ch in enumerate(needle):
+        masks[ch] = masks.get(ch, 0) | 1 << i
+    spans = [(starts[k], starts[min(k + n, len(words))] - 1) for k in range(max(len(words) - n, 0) + 1)]
+    return max(spans, key=lambda s: 2 * common_length(masks, full, hay[s[0] : s[1]]) / (len(needle) + s[1] - s[0]))
 
 
 def find_callsign(text: str, spoken: list[list[str]], tails: list[str], canonical: list[str], whole_words: bool) -> tuple:
@@ -88,7 +92,7 @@ def find_callsign(text: str, spoken: list[list[str]], tails: list[str], canonica
         return tails[k], score, matched, text, False
     _, a, b = partial_ratio(form, text)
     if whole_words:
-        a, b = token_span(text, a, b)
+        a, b = word_span(form, text)
     return tails[k], score, matched, " ".join((text[:a] + canonical[k] + text[b:]).split()), True
 
 
@@ -108,7 +112,7 @@ def match_callsign(text: Column, tails: Column, airlines: dict[str, str] | None
 
     Every tail is tried in order, as its whole spoken form and as what begins with its first digit;
     a later one must score more. From MATCH on it is a match; a match under SNAP_BELOW is spliced out for
-    the whole spoken form (with whole_words, after widening the span to words). tail is the best one even where it
+    the whole spoken form (with whole_words, the run of words most like it is spliced out). tail is the best one even where it
     is no match, and null where all scores are 0. No tails: no match. Null tails and texts are blank.
     """
     near = present_tails(tails)

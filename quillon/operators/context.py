@@ -59,7 +59,7 @@ def group_tracks(points: Column) -> Column:
 
     def one(k: Column) -> Column:
         own = F.filter(points, lambda p: key(p) == k)
-        first = own[0]
+        first = F.get(own, F.lit(0))
         placed = F.transform(own, lambda p, i: F.struct(p["t"].isNull().cast("int").alias("n"), p["t"].alias("t"), i.alias("i"), shaped(p).alias("p")))
         sorted_ = F.transform(F.array_sort(placed, sooner), lambda x: x["p"])
         return F.struct(first["tail"].alias("tail"), first["aircraft_id"].alias("aircraft_id"), sorted_.alias("points"))

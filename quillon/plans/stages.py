@@ -109,7 +109,7 @@ def transcript_grammar(tails: Column, airlines: dict[str, str] | None = None) ->
     """A grammar that holds the answer to the one callsign there is; null for none or several."""
     spoken = canonical_callsigns(tails, airlines)
     rules = ['root ::= (words " ")? callsign (" " words)?', 'callsign ::= "%s"', 'words ::= word (" " word)*', "word ::= [a-z]+", ""]
-    return F.when(F.size(spoken) == 1, F.format_string("\n".join(rules), spoken[0]))
+    return F.when(F.size(spoken) == 1, F.format_string("\n".join(rules), F.get(spoken, F.lit(0))))
 
 
 Complete = Callable[[str, str | None], str]
