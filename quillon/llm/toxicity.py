@@ -26,7 +26,8 @@ QUOTED = 0.15
 BY_DISTANCE = (1.0, 0.9, 0.8)
 #: Bytes before and after a hit that are looked at for quotation.
 WINDOW = 64
-MISS = -4.0
+#: Constant and coefficients (strongest hit, log of the sum of hits) before labels are seen.
+PRIOR = (-4.0, 1.8, 0.8)
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -148,7 +149,8 @@ def is_quoted(text: bytes, start: int, end: int) -> bool:
     """Whether the term at start is quoted or only mentioned, by WINDOW bytes of its line on either side."""
     before = text[max(0, start - WINDOW) : start].rpartition(b"\n")[2]
     after = text[end : end + WINDOW].partition(b"\n")[0]
-    if before.count(b'"') % 2 and b'"' in after:
+    last = before.rfind(b'"')
+    if last >= 0 and before[max(last - 1, 0) : last].strip(b" \t([{:,") == b"" and b'"' in after:
         return True
     if any(before.rfind(o) > before.rfind(c) and c in after for o, c in zip(_OPEN, _CLOSE, strict=True)):
         return True
@@ -160,7 +162,7 @@ class ToxicityModel:
     automaton: Automaton
     weights: np.ndarray
     clean_forms: set[bytes] = field(default_factory=set)
-    coef: np.ndarray = field(default_factory=lambda: np.array([MISS, 1.0, 0.5]))
+    coef: np.ndarray = field(default_factory=lambda: np.array(PRIOR))
 
 
 def evidence(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) -> dict[str, np.ndarray]:
@@ -252,7 +254,7 @@ def fit_toxicity(
     pairs = {w: set(g) for w, g in found.groupby("_word")["_id"]} if len(found) else {}
     learned = _learn_terms(pairs, set(bad), totals["n"], max_terms, support, least_gain)
     terms = sorted({*seeds, *learned})
-    model = ToxicityModel(build_automaton(terms), np.full(len(terms), _logit(0.9)))
+    model = ToxicityModel(build_automaton(terms), np.full(len(terms), _logit(0.95)))
 
     shared = spark.sparkContext.broadcast(model)
     schema = "top double, form string, term int, distance int, toxic boolean, id string"
@@ -281,7 +283,7 @@ def fit_toxicity(
     model.clean_forms = {f.encode() for f in near.index[(near["k"] < 0.6 * near["m"])]}
     exact = seen[seen["distance"] == 0].groupby("term")[["k", "m"]].sum()
     model.weights = np.array([
-        _logit((exact["k"].get(t, 0) + 2.7) / (exact["m"].get(t, 0) + 3.0)) for t in range(len(terms))
+        _logit((exact["k"].get(t, 0) + 2.85) / (exact["m"].get(t, 0) + 3.0)) for t in range(len(terms))
     ]).clip(0, 6)
     rows = picked.select("_toxic", _evidence_column(docs, model, F.col("_text")).alias("e")).select("_toxic", "e.top", "e.total").toPandas()
     if 0 < rows["_toxic"].sum() < len(rows):
@@ -293,9 +295,9 @@ def _inputs(top: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.stack((np.ones(len(top)), top, np.log1p(np.maximum(total, 0))), axis=1)
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray, pull: float = 1.0, rounds: int = 50) -> np.ndarray:
+def _fit_logistic(x: np.ndarray, y: np.ndarray, pull: float = 0.1, rounds: int = 50) -> np.ndarray:
     """Newton steps; the coefficients are pulled to those of the default model."""
-    prior = np.array([MISS, 1.0, 0.5])
+    prior = np.array(PRIOR)
     w, keep = prior.copy(), np.diag([0.01, pull, pull])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

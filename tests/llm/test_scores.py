@@ -1,0 +1,186 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quillon.llm import lm_score
+from quillon.llm.language import ContextTrees, Coder, build_trees, count_grams, identify, op2_language
+from quillon.llm.lm_score import CountFilter, level_counts, level_of, op1_lm_score, pair_hash, score_documents
+from quillon.llm.toxicity import SEED_TERMS, allowed_distance, build_automaton, find_terms, fit_toxicity, is_quoted, op3_toxicity, score_toxicity
+
+
+def crc(i):
+    return zlib.crc32(str(i).encode())
+
+
+def base_scores(docs):
+    """docs: {id: text}; held out by the contract's rule."""
+    words = {i: (t or "").encode().lower().split() + [None] for i, t in docs.items()}
+    count = Counter(w for i, ws in words.items() if crc(i) % 5 != 1 for w in ws)
+    n, v = sum(count.values()), len(count)
+    return {i: (len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for i, ws in words.items()}
+
+
+def test_lm_score_base_is_exact_and_model_is_better(spark, sf_dir):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got, want = op1_lm_score(spark, sf_dir).collect(), base_scores(docs)
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[r["doc_id"]][:3] and r["base_score"] == pytest.approx(want[r["doc_id"]][3])
+        assert r["held_out"] == (crc(r["doc_id"]) % 5 == 1) and r["score"] <= 0
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_lm_score_without_a_head_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "HEAD_SHARE", 2.0)  # no type is broadcast: all counts come from the segments
+    rng = random.Random(12)
+    docs = {i: " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(rng.randrange(60))) for i in range(80)}
+    docs |= {100: None, 101: "", 102: "Zz " * 40_000}
+    rows = [(i, t, crc(i) % 5 == 1, 1) for i, t in docs.items()]
+    df = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, _held boolean, seg int")
+    once = score_documents(df.dropDuplicates(["doc_id"])).collect()
+    want = base_scores(docs)
+    assert {r["doc_id"]: r["base_score"] for r in once} == pytest.approx({i: w[3] for i, w in want.items()})
+    assert score_documents(df).count() == len(rows) + 1 and score_documents(df.limit(0)).count() == 0
+    unlearned = score_documents(df.withColumn("_held", F.lit(True))).collect()
+    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in unlearned)
+
+
+def test_levels_and_filter():
+    counts = np.arange(0, 5000)
+    level = level_of(counts)
+    assert level[0] == 0 and level[1] == 1 and (np.diff(level) >= 0).all()
+    err = np.abs(level_counts()[level[1:]] / counts[1:] - 1)
+    assert err.max() < 0.35
+    import pyarrow as pa
+
+    rng = np.random.default_rng(13)
+    grams, n = rng.integers(0, 2**63, 5000).astype(np.uint64), rng.integers(1, 400, 5000)
+    q = level_of(n)
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([grams.tobytes()]), pa.array([q.astype(np.uint8).tobytes()]), pa.array([int(q.sum())])], names=list("abcd"))
+    made = next(lm_score._fill_segment(10)(iter([batch])))
+    bits = np.frombuffer(made.column(1)[0].as_py(), np.uint8)
+    f = CountFilter(bits, np.array([0]), np.array([made.column(2)[0].as_py()]), 1, 1, np.zeros(0, np.uint64), np.zeros(0, int))
+    got = f.counts(grams)
+    assert (got >= level_counts()[q]).all() and (got == level_counts()[q]).mean() > 0.95  # never too small
+    assert (f.counts(rng.integers(0, 2**63, 5000).astype(np.uint64)) > 0).mean() < 0.03
+    assert len(np.unique(pair_hash(grams, grams[::-1]))) == 5000
+
+
+def coded_bits(trees, texts, depth):
+    """PPM with escape method C and no exclusions, as it is told, for one language."""
+    seen = [Counter() for _ in range(depth)]
+    for t in texts:
+        for d in range(depth):
+            seen[d].update(t[i : i + d + 1] for i in range(len(t) - d))
+
+    def cost(context, symbol):
+        for k in range(len(context), -1, -1):
+            c = context[len(context) - k :]
+            kids = {g: n for g, n in seen[k].items() if g[:-1] == c}
+            if not kids:
+                continue
+            total, kinds = sum(kids.values()), len(kids)
+            own = kids.get(c + bytes([symbol]), 0)
+            if own:
+                return -math.log2(own / (total + kinds))
+            return -math.log2(kinds / (total + kinds)) + (cost(c[1:], symbol) if k else 8.0)
+        return 8.0
+
+    return lambda t: sum(cost(t[max(0, i - depth + 1) : i], t[i]) for i in range(len(t)))
+
+
+def test_code_lengths_are_exact():
+    import pandas as pd
+
+    rng, depth = random.Random(14), 4
+    texts = {x: [bytes(rng.choice(a) for _ in range(rng.randrange(1, 30))) for _ in range(6)] for x, a in (("p", b"abca"), ("q", b"bcdb"))}
+    rows = []
+    for lang, own in texts.items():
+        data, offsets = np.frombuffer(b"".join(own), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in own])))
+        for d, (gram, n) in enumerate(count_grams(data, offsets, depth)):
+            rows += [(lang, d, int(g), int(c)) for g, c in zip(gram, n, strict=True)]
+    trees = build_trees(pd.DataFrame(rows, columns=["lang", "depth", "gram", "n"]), ["p", "q"], depth)
+    asked = [b"", b"a", b"abcd", b"zzz", b"abzbcda", bytes(rng.choice(b"abcde") for _ in range(60))]
+    got = Coder(trees).lengths(np.frombuffer(b"".join(asked), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in asked]))))
+    want = [[coded_bits(trees, texts[x], depth)(t) for x in ("p", "q")] for t in asked]
+    assert np.allclose(got, want)
+
+
+def test_language_of_held_out_documents(spark, sf_dir):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = op2_language(spark, sf_dir).collect()
+    assert len(got) == len(truth) and all(0 <= r["score"] <= 1 and r["held_out"] == (crc(r["doc_id"]) % 5 == 0) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) / len(held) >= 0.95
+
+
+def test_language_of_odd_rows(spark):
+    from quillon.llm.language import fit_languages
+
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", 1) for i in range(40)] + [(99, None, "en", 1), (98, "x", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _lang int")
+    trees = fit_languages(docs)
+    asked = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "THE CAT"), (5, "die katze " * 20_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r["_language"] for r in identify(asked, trees).collect()}
+    assert [got[i]["lang"] for i in range(1, 6)] == ["und", "und", "und", "en", "de"] and got[1]["score"] == 0.0 and got[5]["score"] > 0.99
+    nothing = fit_languages(docs.limit(0))
+    assert isinstance(nothing, ContextTrees) and {r["_language"]["lang"] for r in identify(asked, nothing).collect()} == {"und"}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def test_automaton_against_edit_distance():
+    rng, terms = random.Random(15), sorted(SEED_TERMS)
+    auto, words = build_automaton(terms), []
+    for _ in range(1500):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(w) + 1)
+            w[k : k + rng.randrange(2)] = rng.choice(["", "a", "e", "0", "Q"])
+        words.append("".join(w) or "x")
+    text = " ".join(words).encode()
+    got = {s: (auto.terms[t], d) for s, _, t, d in zip(*find_terms(np.frombuffer(text, np.uint8), auto), strict=True)}
+    at = 0
+    for w in words:
+        best = min((d, t) for t in terms if (d := distance(w.lower(), t)) <= allowed_distance(t)) if any(distance(w.lower(), t) <= allowed_distance(t) for t in terms) else None
+        assert got.get(at, (None, None))[1] == (best[0] if best else None), w
+        at += len(w) + 1
+
+
+def test_quotation_windows():
+    for text, want in (('he said "you idiot" to me', True), ("you idiot", False), ("the word idiot is rude", True), ('end" idiot "begin', False), ("“idiot” they wrote", True)):
+        data = text.encode()
+        at = data.index(b"idiot")
+        assert is_quoted(data, at, at + 5) is want, text
+
+
+def test_toxicity_of_held_out_documents(spark):
+    got = {r["doc_id"]: r for r in op3_toxicity(spark, "/root/testdata/sf0.01").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    held = [(got[r["doc_id"]]["predicted"], r["toxic"]) for r in labels if crc(r["doc_id"]) % 3 == 1]
+    assert sum(p for p, t in held if not t) == 0 and sum(p for p, t in held if t) >= 0.6 * sum(t for _, t in held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) and r["held_out"] == (crc(i) % 3 == 1) for i, r in got.items())
+
+
+def test_toxicity_of_odd_rows(spark):
+    docs = spark.createDataFrame([(i, "you idiot" if i % 2 else "a fine day", 5) for i in range(60)] + [(100, None, 5), (101, "", 5)], "doc_id long, text string, top int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, None), (500, 1)], "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels)
+    asked = spark.createDataFrame([(1, "you IDI0T"), (2, None), (3, "fine " * 50_000 + "worthlss"), (4, 'they said "idiot"'), (5, "day"), (5, "day")], "doc_id long, text string")
+    rows = score_toxicity(asked, model).collect()
+    got = {r["doc_id"]: r["_toxicity"]["score"] for r in rows}
+    assert len(rows) == 6 and got[1] > 0.7 and got[3] > 0.5 and got[2] == got[5] < 0.5 and got[4] < got[1]
+    assert score_toxicity(asked, fit_toxicity(docs, labels.limit(0))).filter("_toxicity.score > 0.5").count() >= 1
