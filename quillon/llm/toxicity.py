@@ -36,7 +36,8 @@ _INNER[[ord(c) for c in "@$!*#_"]] = True  # stand in for a letter between two l
 
 
 def allowed_distance(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    """Edits that a term bears, by its length. A stem ("term*": any word that begins so) bears none."""
+    return 0 if len(term) < 5 or term.endswith("*") else 1 if len(term) < 9 else 2
 
 
 @dataclass
@@ -54,13 +55,13 @@ def build_automaton(terms: list[str]) -> Automaton:
     """The product of the lexicon's trie and the Levenshtein automata of its terms, made deterministic.
 
     A state is a set of (trie node, edits so far); a node with fewer edits covers itself with more.
-    Each term has its own bound of edits, by its length, so nodes carry the largest bound below them.
+    The node where a stem ends stays in the set whatever follows. Each term has its own bound of edits, by its length, so nodes carry the largest bound below them.
     """
-    children, end, most = [{}], [-1], [0]
+    children, end, most, stems = [{}], [-1], [0], set()
     for t, term in enumerate(terms):
         node, bound = 0, allowed_distance(term)
         most[0] = max(most[0], bound)
-        for ch in term.encode():
+        for ch in term.removesuffix("*").encode():
             if ch not in children[node]:
                 children[node][ch] = len(children)
                 children.append({})
@@ -68,6 +69,8 @@ def build_automaton(terms: list[str]) -> Automaton:
                 most.append(0)
             node = children[node][ch]
             most[node] = max(most[node], bound)
+        if term.endswith("*"):
+            stems.add(node)
         end[node] = t
 
     def closed(pairs: dict[int, int]) -> frozenset[tuple[int, int]]:
@@ -83,7 +86,7 @@ def build_automaton(terms: list[str]) -> Automaton:
         return frozenset(pairs.items())
 
     def after(state: frozenset[tuple[int, int]], ch: int) -> frozenset[tuple[int, int]]:
-        out: dict[int, int] = {}
+        out = {node: e for node, e in state if node in stems}
         for node, e in state:
             if e + 1 <= most[node] and out.get(node, 99) > e + 1:
                 out[node] = e + 1  # ch is one too many
@@ -113,7 +116,7 @@ def build_automaton(terms: list[str]) -> Automaton:
         best = min(((e, end[n]) for n, e in state if end[n] >= 0 and e <= allowed_distance(terms[end[n]])), default=None)
         if best:
             distance[s], term[s] = best
-    return Automaton(terms, np.array(rows), term, distance, max((len(t.encode()) for t in terms), default=0) + 2)
+    return Automaton(terms, np.array(rows), term, distance, max((len(t.encode()) for t in terms), default=0) + 2 if not stems else 1 << 30)
 
 
 def find_terms(data: np.ndarray, automaton: Automaton) -> tuple[np.ndarray, ...]:
@@ -205,35 +208,56 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+#: A term's documents must be toxic in this share, and of terms with this share of the best gain the most special one is taken.
+PRECISION, AS_GOOD = 0.9, 0.98
+
+
 def _learn_terms(pairs: dict[str, set[int]], toxic: set[int], n: int, most: int, support: int, least_gain: float) -> list[str]:
-    """Terms one by one, each by its likelihood ratio over the documents that earlier terms leave."""
+    """Words and stems one by one, each by its likelihood ratio over the documents that earlier ones leave.
+
+    Of those that tell about as much, a word goes before a stem and a longer stem before a shorter one.
+    """
     left, bad, chosen = n, set(toxic), []
     gone: set[int] = set()
     while len(chosen) < most:
-        base, best = len(bad) / max(left, 1), (least_gain, "")
+        base, gains = len(bad) / max(left, 1), []
         for word, ids in pairs.items():
             own = ids - gone
             k, m = len(own & bad), len(own)
-            if k >= support and k >= 0.6 * m:
+            if k >= support and k >= PRECISION * m:
                 gain = 2 * sum(x * math.log(x / y) for x, y in ((k, m * base), (m - k, m * (1 - base))) if x)
-                best = max(best, (gain, word))
-        if not best[1]:
+                if gain >= least_gain:
+                    gains.append((gain, not word.endswith("*"), len(word), word))
+        if not gains:
             break
-        chosen.append(best[1])
-        ids = pairs.pop(best[1]) - gone
+        best = max(gains)[0]
+        word = max(g[1:] for g in gains if g[0] >= AS_GOOD * best)[2]
+        chosen.append(word)
+        ids = pairs.pop(word) - gone
         gone |= ids
         bad -= ids
         left -= len(ids)
     return chosen
 
 
+#: Letters of the stems that are tried.
+STEMS = (3, 8)
+
+
+def words_and_stems(text: Column) -> Column:
+    """The distinct words of a text, and their beginnings of STEMS letters marked with a star."""
+    words = F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w).between(3, 24))
+    begin = lambda w: F.transform(F.sequence(F.lit(STEMS[0]), F.least(F.length(w), F.lit(STEMS[1]))), lambda n: F.concat(F.substring(w, F.lit(1), n), F.lit("*")))
+    return F.concat(words, F.array_distinct(F.flatten(F.transform(words, begin))))
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, train_docs: int = 20_000, max_terms: int = 100, support: int = 5, least_gain: float = 24.0,
     seeds: tuple[str, ...] = SEED_TERMS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> ToxicityModel:
     """A model from labelled documents. About train_docs of them, by a hash of the id, are learned from (all, if there are fewer).
 
-    Terms are the seeds and what labels add, max_terms at most. A term's weight is the smoothed log
+    Terms are the seeds and what labels add, max_terms at most: words, and stems for languages that inflect them. A term's weight is the smoothed log
     odds of documents that have it. Misspelt forms that clean documents use are learned as words of their
     own. Two coefficients and a constant turn the evidence into a probability. Without
     labels the seeds and default coefficients are used.
@@ -244,8 +268,7 @@ def fit_toxicity(
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     sample = known.filter(draw < share).groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     picked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(sample), "_id")
-    sets = picked.withColumn("_words", F.array_distinct(F.split(F.lower(F.coalesce("_text", F.lit(""))), r"[^\p{L}]+")))
-    words = sets.select("_id", "_toxic", F.explode("_words").alias("_word")).filter(F.length("_word").between(3, 24))
+    words = picked.select("_id", "_toxic", F.explode(words_and_stems(F.coalesce("_text", F.lit("")))).alias("_word"))
     counts = words.groupBy("_word").agg(F.sum(F.col("_toxic").cast("int")).alias("_k"), F.count(F.lit(1)).alias("_m"))
     strong = counts.filter((F.col("_k") >= support) & (F.col("_k") >= 0.5 * F.col("_m"))).orderBy(F.desc("_k"), "_word").limit(20 * max_terms)
     found = words.join(F.broadcast(strong.select("_word")), "_word").select("_word", "_id", "_toxic").toPandas()

@@ -160,6 +160,25 @@ def test_automaton_against_edit_distance():
         at += len(w) + 1
 
 
+def test_stems_take_any_ending():
+    auto = build_automaton(["idiot", "vequ*", "réê*"])
+    text = "vequté VEQUx vequ vequ1 avequ réêou idiott ve".encode()
+    assert [(auto.terms[t], d) for _, _, t, d in zip(*find_terms(np.frombuffer(text, np.uint8), auto), strict=True)] == [("vequ*", 0)] * 4 + [("réê*", 0), ("idiot", 1)]
+
+
+def test_stems_are_learned(spark):
+    rng = random.Random(18)
+    clean = ["".join(rng.choice("aeio") + rng.choice("lmnr") for _ in range(3)) for _ in range(80)]
+    rows = []
+    for i in range(600):
+        words = [rng.choice(clean) for _ in range(12)]
+        if i % 6 == 0:
+            words[3] = "lostra" + rng.choice(clean)
+        rows.append((i, " ".join(words)))
+    model = fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(600)], "doc_id long, toxic int"))
+    assert [t for t in model.automaton.terms if t not in SEED_TERMS] == ["lostra*"]
+
+
 def test_quotation_windows():
     for text, want in (('he said "you idiot" to me', True), ("you idiot", False), ("the word idiot is rude", True), ('end" idiot "begin', False), ("“idiot” they wrote", True)):
         data = text.encode()
