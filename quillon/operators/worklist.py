@@ -93,7 +93,7 @@ def review_plan(labels: DataFrame, budget: int = BUDGET, rank: Callable[[Column]
     cal = dealt.select("utterance_id", F.row_number().over(Window.orderBy("place")).alias("place"))
     rest = pool.join(gold.select("utterance_id"), "utterance_id", "left_anti").join(cal.select("utterance_id"), "utterance_id", "left_anti")
     left = cal.agg((F.lit(budget) - F.count(F.lit(1))).alias("_left"))
-    edge = boundary(rest, budget).crossJoin(F.broadcast(left)).filter(F.col("place") <= F.col("_left")).drop("_left")
+    edge = boundary(rest, budget).filter(F.col("place") <= left.scalar())
     named = [
         part.select("utterance_id", F.lit(reason).alias("reason"), F.lit(late).alias("_late"), "place", F.lit(after).alias("_after"))
         for part, reason, late, after in ((gold, "gold-validation", 0, 0), (edge, "boundary", 1, 0), (cal, "calibration", 1, 1))
