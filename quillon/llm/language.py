@@ -16,6 +16,8 @@ from .textbytes import text_runs
 
 #: Bits for a byte that no context knows, not even the empty one.
 FLAT_BITS = 8.0
+#: More languages than this are refused: their sizes are broadcast, and each text is coded in all of them.
+MAX_LANGS = 1000
 
 
 @dataclass
@@ -133,9 +135,11 @@ def fit_languages(
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & (F.length(F.col(text_col)) > 0) & (F.length(F.col(text_col)) <= train_chars))
     sizes = rows.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    if sizes.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.select(F.col(lang_col).alias("_lang"), draw.alias("_u"), F.lower(F.col(text_col)).alias("_text"))
-    chosen = chosen.join(sizes, "_lang").filter(F.col("_u") * F.col("_n") < train_docs).select("_lang", "_text")
+    chosen = chosen.join(F.broadcast(sizes), "_lang").filter(F.col("_u") * F.col("_n") < train_docs).select("_lang", "_text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
