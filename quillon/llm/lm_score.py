@@ -17,7 +17,7 @@ from .textbytes import text_runs
 #: Each level of the filter stands for counts some BASE times those of the level below.
 BASE = 1.5
 LEVELS = 60
-#: Bits of the filter for each (n-gram, level), and probes for each; the filter never has over MAX_FILTER_BYTES.
+#: Bits of the filter for each (n-gram, level), and probes for each. A filter of over MAX_FILTER_BYTES is not broadcast: n-grams go to its segments.
 BITS_PER_ENTRY = 8
 PROBES = 5
 MAX_FILTER_BYTES = 256 << 20
@@ -98,7 +98,7 @@ def places(hashes: np.ndarray, level: int | np.ndarray, bits: np.ndarray | int)
 
 @dataclass
 class CountFilter:
-    """Segments of the filter, one after another, and totals of the training tokens."""
+    """Segments of the filter, one after another, and totals of the training tokens. Without bits, the filter is too large to be in one place."""
 
     bits: np.ndarray
     starts: np.ndarray
@@ -204,14 +204,27 @@ def _head(least: float):
     return run
 
 
+def _with_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The exact counts of each segment beside its part of the filter."""
+    for batch in batches:
+        made = next(_fill_segment(BITS_PER_ENTRY)(iter([batch.select([0, 1, 2, 3])])))
+        yield pa.RecordBatch.from_arrays([made.column(0), batch.column(4), batch.column(5), made.column(1), made.column(2)], names=["seg", "hashes", "counts", "bits", "size"])
+
+
 def build_filter(train: DataFrame, segments: int, text_col: str = "text") -> tuple[DataFrame, CountFilter]:
-    """(exact counts of types by segment, the filter). Only the filter, the head and a row of totals a segment come to the driver."""
+    """(exact counts of types by segment, the filter). Only the filter, the head and a row of totals a segment come to the driver.
+
+    A filter of over MAX_FILTER_BYTES stays in segments, beside the exact counts, and the CountFilter has totals only.
+    """
     run, schema = _partial_counts(segments)
     partial = train.select(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(run, schema)
     exact = saved(partial.groupBy("seg").applyInArrow(_sum_segment, _TABLE))
     totals = exact.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "types", "entries")]).first()
-    per = min(float(BITS_PER_ENTRY), MAX_FILTER_BYTES * 8 / max(totals["entries"], 1))
-    filled = exact.select("seg", "grams", "levels", "entries").mapInArrow(_fill_segment(per), "seg int, bits binary, size long").toArrow()
+    if totals["entries"] * BITS_PER_ENTRY > MAX_FILTER_BYTES * 8:
+        none = np.zeros(0, np.uint64)
+        held = exact.select("seg", "grams", "levels", "entries", "hashes", "counts").mapInArrow(_with_filter, "seg int, hashes binary, counts binary, bits binary, size long")
+        return saved(held), CountFilter(none.view(np.uint8), none, none, totals["tokens"], totals["types"], none, none)
+    filled = exact.select("seg", "grams", "levels", "entries").mapInArrow(_fill_segment(BITS_PER_ENTRY), "seg int, bits binary, size long").toArrow()
     sizes, parts = np.zeros(segments, np.int64), [b""] * segments
     for s, b, n in zip(filled["seg"].to_pylist(), filled["bits"].to_pylist(), filled["size"].to_pylist(), strict=True):
         sizes[s], parts[s] = n, b
@@ -242,8 +255,27 @@ def chance(own: np.ndarray, first: np.ndarray, both: np.ndarray, grams: CountFil
     return np.minimum(weight * both / np.maximum(first, 1) + (1 - weight) * single, 1.0)
 
 
-def fit_mix(train: DataFrame, shared, n: int, fit_docs: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """shared: the broadcast filter. By level, the weight that suits about fit_docs training documents best, each token left out of its own counts."""
+def _gains(own: np.ndarray, first: np.ndarray, both: np.ndarray, grams: CountFilter) -> np.ndarray:
+    """By level and weight: the log probability of tokens, each left out of its own counts."""
+    own, first, both = (np.maximum(x - 1, 0) for x in (own, first, both))
+    single = (own + 0.5) / (grams.tokens + 0.5 * (grams.types + 1))
+    pair = np.minimum(both, first) / np.maximum(first, 1)
+    level = level_of(first + 1)
+    return np.stack([np.bincount(level, np.log(m * pair + (1 - m) * single), LEVELS + 1) for m in MIXES], axis=1)
+
+
+def _gain_columns(gain: np.ndarray) -> dict[str, pa.Array]:
+    at = [np.repeat(np.arange(LEVELS + 1), len(MIXES)), np.tile(np.arange(len(MIXES)), LEVELS + 1)]
+    return {"level": pa.array(at[0]), "mix": pa.array(at[1]), "gain": pa.array(gain.reshape(-1))}
+
+
+def fit_mix(
+    train: DataFrame, shared, n: int, fit_docs: int = 2000, id_col: str = "doc_id", text_col: str = "text", exact: DataFrame | None = None, segments: int = 0
+) -> np.ndarray:
+    """shared: the broadcast filter. By level, the weight that suits about fit_docs training documents best, each token left out of its own counts.
+
+    With exact, the filter is in its segments and the documents' n-grams are sent there.
+    """
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,17 +283,21 @@ def fit_mix(train: DataFrame, shared, n: int, fit_docs: int = 2000, id_col: str
         for batch in batches:
             for _, _, data, offsets in text_runs(batch.column(0), SCORE_BYTES):
                 tokens, _ = token_hashes(data, offsets)
-                own, first, both = (np.maximum(x - 1, 0) for x in gram_counts(tokens, shared.value))
-                single = (own + 0.5) / (shared.value.tokens + 0.5 * (shared.value.types + 1))
-                pair = np.minimum(both, first) / np.maximum(first, 1)
-                level = level_of(first + 1)
-                for k, m in enumerate(MIXES):
-                    gain[:, k] += np.bincount(level, np.log(m * pair + (1 - m) * single), LEVELS + 1)
-        at = [np.repeat(np.arange(LEVELS + 1), len(MIXES)), np.tile(np.arange(len(MIXES)), LEVELS + 1)]
-        yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(gain.reshape(-1))], names=["level", "mix", "gain"])
+                gain += _gains(*gram_counts(tokens, shared.value), shared.value)
+        yield pa.RecordBatch.from_pydict(_gain_columns(gain))
 
+    def of_run(key: tuple, rows: pa.Table) -> pa.Table:
+        _, _, *counts = _run_counts(rows)
+        return pa.table(_gain_columns(_gains(*counts, shared.value)))
+
+    schema = "level long, mix long, gain double"
     picked = train.filter(draw < fit_docs / max(n, 1)).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    got = picked.mapInArrow(run, "level long, mix long, gain double").groupBy("level", "mix").agg(F.sum("gain").alias("gain")).toPandas()
+    if exact is None:
+        gains = picked.mapInArrow(run, schema)
+    else:
+        asked = picked.select(F.col(picked.columns[0]), F.lit(0), F.lit(False)).mapInArrow(_ask_segments(segments), _ASK_GRAMS)
+        gains = _told(asked, exact).groupBy("run").applyInArrow(of_run, schema)
+    got = gains.groupBy("level", "mix").agg(F.sum("gain").alias("gain")).toPandas()
     gain = np.zeros((LEVELS + 1, len(MIXES)))
     gain[got["level"], got["mix"]] = got["gain"]
     return MIXES[gain.argmax(axis=1)]
@@ -335,6 +371,93 @@ def _put_together(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(base), "score": meta["score"]})
 
 
+_ASK_GRAMS = "run string, seg int, kind int, hashes binary, places binary, meta binary, tokens binary"
+_ASK_GRAMS_TYPES = (pa.string(), pa.int32(), pa.int32(), *[pa.binary()] * 4)
+_TELL_GRAMS = "run string, kind int, places binary, counts binary, exact binary, meta binary, tokens binary"
+_TELL_GRAMS_TYPES = (pa.string(), pa.int32(), *[pa.binary()] * 5)
+
+
+def _ask_segments(segments: int):
+    """A row for each run of texts with its tokens, as numbers of its types (kind 1) and pairs (kind 2), and rows that ask segments for those n-grams."""
+    from pyspark import TaskContext
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, nth = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for i, j, data, offsets in text_runs(batch.column(0), SCORE_BYTES):
+                name, nth = f"{part}-{nth}", nth + 1
+                tokens, n = token_hashes(data, offsets)
+                types, one = np.unique(tokens, return_inverse=True)
+                pairs, two = np.unique(pair_hash(before(tokens), tokens), return_inverse=True)
+                meta = pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n)], names=["id", "held", "n"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, meta.schema) as out:
+                    out.write_batch(meta)
+                rows = [(name, (part * 31 + nth) % segments, 0, None, None, sink.getvalue().to_pybytes(), np.stack((one, two)).astype(np.uint32).tobytes())]
+                for kind, own in ((1, types), (2, pairs)):
+                    rows += [(name, s, kind, h.tobytes(), at.tobytes(), None, None) for s, (h, at) in by_segment(own, segments, np.arange(len(own), dtype=np.uint32))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_ASK_GRAMS_TYPES)], names=[f.split()[0] for f in _ASK_GRAMS.split(", ")])
+
+    return run
+
+
+def _answer_grams(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
+    """Probes a segment's part of the filter, and looks its types up in the exact counts."""
+    made = None
+    if held.num_rows:
+        bits, size, none = np.frombuffer(held["bits"][0].as_py(), np.uint8), held["size"][0].as_py(), np.zeros(0, np.uint64)
+        made = CountFilter(bits, np.array([0]), np.array([size]), 0, 0, none, none)
+        keys, n = np.frombuffer(held["hashes"][0].as_py(), np.uint64), np.frombuffer(held["counts"][0].as_py(), np.int64)
+    rows: list[tuple] = []
+    for name, kind, h, places_, meta, tokens in zip(*(asked[c].to_pylist() for c in ("run", "kind", "hashes", "places", "meta", "tokens")), strict=True):
+        if kind == 0:
+            rows.append((name, 0, None, None, None, meta, tokens))
+            continue
+        h, exact = np.frombuffer(h, np.uint64), None
+        counts = made.counts(h) if made else np.zeros(len(h))
+        if kind == 1:
+            exact = np.zeros(len(h), np.int64)
+            if made and len(keys):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                exact = np.where(keys[at] == h, n[at], 0)
+            exact = exact.tobytes()
+        rows.append((name, kind, places_, level_of(counts).astype(np.uint8).tobytes(), exact, None, None))
+    return pa.table({f.split()[0]: pa.array([r[k] for r in rows], t) for k, (f, t) in enumerate(zip(_TELL_GRAMS.split(", "), _TELL_GRAMS_TYPES, strict=True))})
+
+
+def _told(asked: DataFrame, exact: DataFrame) -> DataFrame:
+    return asked.groupBy("seg").cogroup(exact.groupBy("seg")).applyInArrow(_answer_grams, _TELL_GRAMS)
+
+
+def _run_counts(rows: pa.Table) -> tuple:
+    """(what is known of the run's texts, exact counts by token, and by token what gram_counts gives) from the answers of segments."""
+    found = list(zip(*(rows[c].to_pylist() for c in ("kind", "places", "counts", "exact", "meta", "tokens")), strict=True))
+    meta, at = next((m, np.frombuffer(t, np.uint32).reshape(2, -1)) for k, *_, m, t in found if k == 0)
+    level, exact = [np.zeros(int(x.max()) + 1, np.uint8) for x in at], np.zeros(int(at[0].max()) + 1, np.int64)
+    for kind, own, counts, n, _, _ in found:
+        if kind:
+            own = np.frombuffer(own, np.uint32)
+            level[kind - 1][own] = np.frombuffer(counts, np.uint8)
+            if kind == 1:
+                exact[own] = np.frombuffer(n, np.int64)
+    own, pair = (level_counts()[x][k] for x, k in zip(level, at, strict=True))
+    first = np.concatenate((own[-1:], own[:-1]))  # each text ends with END
+    both = np.minimum(pair, own)
+    return pa.ipc.open_stream(meta).read_all().combine_chunks(), exact[at[0]], own, np.maximum(first, both), both
+
+
+def _score_told(grams: CountFilter, mix: np.ndarray):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        meta, exact, *counts = _run_counts(rows)
+        n = meta["n"].to_numpy()
+        doc = np.repeat(np.arange(len(n)), n)
+        sums = [np.bincount(doc, x, len(n)) for x in (np.log10(exact + 0.5), np.log10(chance(*counts, grams, mix)))]
+        known = np.bincount(doc, exact > 0, len(n)).astype(np.int64)
+        return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(sums[0]), "score": pa.array(sums[1])})
+
+    return run
+
+
 def score_documents(
     docs: DataFrame, train: str | None = None, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "_held"
 ) -> DataFrame:
@@ -343,9 +466,10 @@ def score_documents(
     docs has a boolean column held_out_col; the other rows are learned from. Words and pairs of
     words are counted exactly, by hash segments that grow in number with the input, and each
     segment writes its own part of the log-frequency filter: an n-gram of count c is entered for
-    levels 1 to 1 + log(c), and a count is read back by probing level after level. The filter is
-    broadcast; it holds all n-grams and takes MAX_FILTER_BYTES at most (with fewer bits an entry
-    beyond that, so more false positives, never fewer n-grams). score is the log10 probability under
+    levels 1 to 1 + log(c), and a count is read back by probing level after level. The filter holds
+    all n-grams at BITS_PER_ENTRY bits for each (n-gram, level). Up to MAX_FILTER_BYTES it is broadcast;
+    a larger one stays in its segments, and the n-grams of each run of texts are sent there and their
+    counts come back, with the same scores. score is the log10 probability under
     a mixture of pair and word, whose weights are fitted by leaving one out. base_score needs exact
     counts of all types, which no broadcast may hold: frequent types (1 / HEAD_SHARE at most) are
     broadcast, tokens of the others go to their segment by a shuffle and their sums come back.
@@ -361,11 +485,17 @@ def score_documents(
     learned = rows.filter(~F.col("_held"))
     exact, grams = build_filter(learned, segments, "_text")
     shared = docs.sparkSession.sparkContext.broadcast(grams)
-    mix = fit_mix(learned, shared, shape["n"], id_col="_id", text_col="_text")
-    asked = rows.mapInArrow(_score_runs(shared, mix, segments), _ASK)
-    told = asked.groupBy("seg").cogroup(exact.groupBy("seg")).applyInArrow(_answer, _TELL)
     kind = rows.schema["_id"].dataType.simpleString()
-    whole = told.groupBy("run").applyInArrow(_put_together, f"id {kind}, held boolean, n long, known long, base double, score double")
+    scored = f"id {kind}, held boolean, n long, known long, base double, score double"
+    if len(grams.sizes):
+        mix = fit_mix(learned, shared, shape["n"], id_col="_id", text_col="_text")
+        asked = rows.mapInArrow(_score_runs(shared, mix, segments), _ASK)
+        told = asked.groupBy("seg").cogroup(exact.groupBy("seg")).applyInArrow(_answer, _TELL)
+        whole = told.groupBy("run").applyInArrow(_put_together, scored)
+    else:
+        mix = fit_mix(learned, shared, shape["n"], id_col="_id", text_col="_text", exact=exact, segments=segments)
+        asked = rows.mapInArrow(_ask_segments(segments), _ASK_GRAMS)
+        whole = _told(asked, exact).groupBy("run").applyInArrow(_score_told(grams, mix), scored)
     norm = float(np.log10(grams.tokens + 0.5 * (grams.types + 1)))
     return whole.select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),

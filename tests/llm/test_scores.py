@@ -51,6 +51,16 @@ def test_lm_score_without_a_head_and_odd_rows(spark, monkeypatch):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in unlearned)
 
 
+def test_lm_score_of_a_filter_past_the_bound(spark, sf_dir, monkeypatch):
+    want = {r["doc_id"]: r for r in op1_lm_score(spark, sf_dir).collect()}
+    monkeypatch.setattr(lm_score, "MAX_FILTER_BYTES", 4096)  # hardly a bit for each entry, if the filter had to fit
+    got = op1_lm_score(spark, sf_dir).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert r["score"] == pytest.approx(want[r["doc_id"]]["score"]) and r["base_score"] == pytest.approx(want[r["doc_id"]]["base_score"])
+        assert (r["n_tokens"], r["n_known"]) == (want[r["doc_id"]]["n_tokens"], want[r["doc_id"]]["n_known"])
+
+
 def test_levels_and_filter():
     counts = np.arange(0, 5000)
     level = level_of(counts)
