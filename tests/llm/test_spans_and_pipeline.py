@@ -127,6 +127,24 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
 
 
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(19)
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(rng.randrange(40, 300))] for _ in range(60)]
+    for i in range(60):
+        copy = list(texts[i])
+        for _ in range(1 + i % 6):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+        texts.append(copy)
+    sets = [{" ".join(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    first = list(range(len(texts)))
+    near = [(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for a, b in near:
+        first[b] = min(first[a], first[b])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicate(spark, docs, "").collect()
+    assert 20 < len(near) < 60 and sorted(r["doc_id"] for r in got) == [i for i, f in enumerate(first) if i == f]
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_pipeline_of_empty_and_null_documents(spark, stage):
     name, f = corpus_pipeline.STAGES[stage]
