@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,13 +90,15 @@ class TemplateIndex:
     place: np.ndarray
 
 
-def build_index(templates: dict[str, str]) -> TemplateIndex:
+def build_index(templates: dict[str, str], least: float = 0.8) -> TemplateIndex:
+    """Templates whose words that may fail can leave no GRAM + WINNOW - 1 in a row enter all their grams, others the winnowed ones."""
     names = sorted(templates)
     tokens = [_digests(words_of(templates[n].encode())) for n in names]
     keys, owner, place = [], [], []
     for t, own in enumerate(tokens):
         hashes = gram_hashes(own)
-        at = winnowed(hashes)
+        spare = len(own) - math.ceil(least * len(own) - 1e-9)
+        at = winnowed(hashes) if -(-(len(own) - spare) // (spare + 1)) >= GRAM + WINNOW - 1 else np.arange(len(hashes))
         keys.append(hashes[at])
         owner.append(np.full(len(at), t))
         place.append(at)
@@ -149,17 +152,27 @@ def banded_alignment(template: np.ndarray, text: np.ndarray, diagonal: int, band
 
 
 def align_candidates(tokens: np.ndarray, hits: list[tuple[int, int, int]], index: TemplateIndex, least: float) -> list[tuple[int, float, int, int, int]]:
-    """(template, coverage, matched, start, end) in words: hits are (template, its place, text's place); of spans that meet, the one that matches most stays."""
+    """(template, coverage, matched, start, end) in words: hits are (template, its place, text's place); of spans that meet, the one that matches most stays.
+
+    A hit is skipped only where an accepted span of its template covers it; else it is aligned from its own diagonal between such spans, until it is covered or nothing is found.
+    """
     tried, found = set(), []
-    for t, i, j in hits:
-        near = (t, (j - i) // BAND)
-        if near in tried:
-            continue
-        tried |= {near, (t, near[1] + 1)} if (j - i) % BAND > BAND // 2 else {near}
-        own = index.tokens[t]
-        lo, hi = max(0, j - i - BAND), min(len(tokens), j - i + len(own) + BAND)
-        matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo)
-        if matched >= least * len(own):
+    taken: dict[int, list[tuple[int, int]]] = {}
+    for t, i, j in sorted(hits, key=lambda x: (x[0], x[2], x[1])):
+        own, spans = index.tokens[t], taken.setdefault(t, [])
+        while not any(a <= j < b for a, b in spans):
+            # what accepted spans of the template leave around the hit
+            lo = max([0, j - i - BAND, *(b for a, b in spans if b <= j)])
+            hi = min([len(tokens), j - i + len(own) + BAND, *(a for a, b in spans if a > j)])
+            if (t, j - i, lo, hi) in tried:
+                break
+            tried.add((t, j - i, lo, hi))
+            if np.isin(own, tokens[lo:hi]).sum() < least * len(own):
+                break
+            matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo)
+            if matched < least * len(own):
+                break
+            spans.append((lo + start, lo + end))
             found.append((t, matched / len(own), matched, lo + start, lo + end))
     kept: list[tuple[int, float, int, int, int]] = []
     for one in sorted(set(found), key=lambda x: (-x[2], -x[1], x[3], x[0])):
@@ -187,13 +200,14 @@ def scan_licenses(
 
     coverage is the share of the template's words that the alignment matches, least at least; the
     span is in code points, end exclusive, from the first matched word to the last. Templates of
-    fewer words than GRAM are never found. Places that meet are given once, for the template with
+    fewer words than GRAM are never found, nor are places without GRAM words in a row of a template that is too
+    short for winnowing (GRAM + WINNOW - 1 in a row of another). Places that meet are given once, for the template with
     most matched words (ties: larger coverage, then the name). The index is of the templates, which
     the caller names, and goes to the tasks; texts stay where they are. A null or empty text has no
     rows, nor has a document without a match; rows that repeat give their rows each. Other
     columns of the input are not read.
     """
-    index = build_index(TEMPLATES if templates is None else templates)
+    index = build_index(TEMPLATES if templates is None else templates, least)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -208,7 +222,7 @@ def scan_licenses(
                 tokens = _digests([w for p in parts for w in p])
                 hashes = gram_hashes(tokens)
                 doc = np.searchsorted(first, np.arange(len(hashes)), side="right") - 1
-                picked = winnowed(hashes)
+                picked = np.arange(len(hashes))  # the index is winnowed where it may be; the text is looked up whole
                 picked = picked[(picked + GRAM <= first[doc[picked] + 1])] if len(picked) else picked
                 low, high = np.searchsorted(own.keys, hashes[picked], "left"), np.searchsorted(own.keys, hashes[picked], "right")
                 by_doc: dict[int, list[tuple[int, int, int]]] = {}

@@ -91,6 +91,19 @@ def test_licenses_with_edits_and_odd_rows(spark):
     assert by[3][0][0] == "Apache-2.0/short"
 
 
+def test_licenses_that_recur_within_a_band(spark):
+    mit = TEMPLATES["MIT/short"]
+    rows = [(0, "\n".join([mit] * 3)), (1, "\n".join([mit] * 7)), (2, "Released under the MIT Licence.")]
+    rows += [(10 * at + gap, " ".join(["w"] * at + [mit] + ["v"] * gap + [mit])) for at in range(1, 20) for gap in range(10)]
+    got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append((r["span_start"], r["span_end"]))
+    for i, t in rows:
+        starts = [m.start() for m in re.finditer("Released", t)]
+        assert sorted(by[i]) == [(x, x + (22 if i == 2 else len(mit) - 1)) for x in starts], (i, t)
+
+
 def test_banded_alignment_counts_matches():
     t = np.arange(1, 21).astype(np.uint64)
     assert banded_alignment(t, np.concatenate((t[:5], [99, 98], t[5:12], t[14:])).astype(np.uint64), 0) == (18, 0, 20)
