@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,7 @@ SEED_TERMS = (
 MENTIONS = (b"word", b"words", b"term", b"quote", b"quoted", b"quotes", b"slur", b"definition", b"means", b"called", b"wrote", b"said")
 QUOTED = 0.15
 BY_DISTANCE = (1.0, 0.9, 0.8)
-#: Bytes before and after a hit that are looked at for quotation.
+#: Bytes before a hit that are looked at for words of mention.
 WINDOW = 64
 #: Constant and coefficients (strongest hit, log of the sum of hits) before labels are seen.
 PRIOR = (-4.0, 1.8, 0.8)
@@ -148,15 +149,46 @@ def find_terms(data: np.ndarray, automaton: Automaton) -> tuple[np.ndarray, ...]
 _OPEN, _CLOSE = ("“".encode(), "«".encode()), ("”".encode(), "»".encode())
 
 
-def is_quoted(text: bytes, start: int, end: int) -> bool:
-    """Whether the term at start is quoted or only mentioned, by WINDOW bytes of its line on either side."""
-    before = text[max(0, start - WINDOW) : start].rpartition(b"\n")[2]
-    after = text[end : end + WINDOW].partition(b"\n")[0]
-    last = before.rfind(b'"')
-    if last >= 0 and before[max(last - 1, 0) : last].strip(b" \t([{:,") == b"" and b'"' in after:
-        return True
-    if any(before.rfind(o) > before.rfind(c) and c in after for o, c in zip(_OPEN, _CLOSE, strict=True)):
+_MARK = re.compile(b"|".join((b'"', *_OPEN, *_CLOSE)))
+_LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
+
+
+def quotations(text: bytes) -> tuple[list[int], list[int]]:
+    """Starts and ends of the quotations of a text, of any length and over any lines; one within another is part of it.
+
+    A straight quote opens after white space, a bracket, a colon or a comma. The next one closes it, unless that one opens by the same rule before a letter.
+    """
+    found, straight, inside = [], -1, ([], [])
+    for m in _MARK.finditer(text):
+        at, mark = m.start(), m.group()
+        if mark == b'"':
+            opens = text[max(at - 1, 0) : at].strip(b" \t\r\n([{:,") == b""
+            if straight >= 0 and not (opens and _LETTER.match(text, at + 1)):
+                found.append((straight, at))
+                straight = -1
+            elif opens:
+                straight = at
+        elif mark in _OPEN:
+            inside[_OPEN.index(mark)].append(at)
+        elif inside[kind := _CLOSE.index(mark)]:
+            found.append((inside[kind].pop(), at))
+    starts, ends = [], []
+    for a, b in sorted(found):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def is_quoted(text: bytes, start: int, end: int, spans: tuple[list[int], list[int]] | None = None) -> bool:
+    """Whether the term at start is in a quotation of the text, or only mentioned, by WINDOW bytes of its line before it. spans: the text's quotations."""
+    starts, ends = quotations(text) if spans is None else spans
+    k = bisect_right(starts, start) - 1
+    if k >= 0 and end <= ends[k]:
         return True
+    before = text[max(0, start - WINDOW) : start].rpartition(b"\n")[2]
     return any(w in MENTIONS for w in re.findall(rb"[a-z]+", before.lower())[-3:])
 
 
@@ -174,12 +206,16 @@ def evidence(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) -> dic
     out = {"top": np.zeros(n), "total": np.zeros(n), "hits": np.zeros(n, np.int64), "quoted": np.zeros(n, np.int64)}
     gaps = np.insert(data, offsets[1:], 10)  # a line end after each text keeps neighbours apart
     cuts = offsets + np.arange(n + 1)
+    of, text, spans = -1, b"", ([], [])
     for start, end, term, distance in zip(*find_terms(gaps, model.automaton), strict=True):
         if distance and gaps[start:end].tobytes().lower() in model.clean_forms:
             continue
         k = int(np.searchsorted(cuts, start, side="right")) - 1
-        lo, hi = max(int(cuts[k]), start - WINDOW), min(int(cuts[k + 1]), end + WINDOW)
-        quoted = is_quoted(gaps[lo:hi].tobytes(), int(start) - lo, int(end) - lo)
+        lo = int(cuts[k])
+        if k != of:
+            of, text = k, gaps[lo : int(cuts[k + 1])].tobytes()
+            spans = quotations(text)
+        quoted = is_quoted(text, int(start) - lo, int(end) - lo, spans)
         weight = model.weights[term] * BY_DISTANCE[distance] * (QUOTED if quoted else 1.0)
         out["hits"][k] += 1
         out["quoted"][k] += quoted

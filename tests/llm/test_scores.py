@@ -196,6 +196,17 @@ def test_quotation_windows():
         assert is_quoted(data, at, at + 5) is want, text
 
 
+def test_long_quotations_and_quotations_over_lines():
+    fill = "plain words of a long text " * 8
+    for text, want in (
+        (f'they wrote: "{fill}idiot {fill}" and left', True), (f"“{fill}\n{fill}idiot\n{fill}”", True), (f"« {'слово ' * 30} idiot {'слово ' * 30} »", True),
+        (f'"{fill}" {fill} idiot {fill} "{fill}"', False), (f'a 5" pipe, {fill} idiot {fill} 6" pipe', False), (f'"{fill} idiot', False), (f"“a «b» {fill} idiot”", True),
+    ):
+        data = text.encode()
+        at = data.index(b"idiot")
+        assert is_quoted(data, at, at + 5) is want, text
+
+
 def test_toxicity_of_held_out_documents(spark):
     got = {r["doc_id"]: r for r in op3_toxicity(spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
