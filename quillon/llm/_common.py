@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where none is set (tests)."""
+    """The folder that all executors share, as the session names it in spark.checkpoint.dir or by setCheckpointDir()."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at is None:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = found.get() if found.isDefined() else tempfile.mkdtemp(prefix="spark-")
         if not found.isDefined():
-            spark.sparkContext.setCheckpointDir(at)
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        at = found.get()
     return at
 
 
@@ -35,6 +35,22 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put_file(spark: SparkSession, parts: Iterable[bytes], step: int = 1 << 22) -> str:
+    """Writes the parts as one file of the shared folder and gives each executor a copy of its own; returns the name for SparkFiles.get().
+
+    Processes of an executor that map the file into memory share its pages. The file stays for the session.
+    """
+    sc, name = spark.sparkContext, f"quillon-{uuid.uuid4().hex}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    for part in parts:
+        for at in range(0, len(part), step):
+            out.write(bytearray(part[at : at + step]))
+    out.close()
+    sc.addFile(path.toString())
+    return name
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n).cast("int")

@@ -8,25 +8,26 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod, saved, table
+from ._common import crc_mod, put_file, saved, table
 from .textbytes import text_runs
 
 #: Each level of the filter stands for counts some BASE times those of the level below.
 BASE = 1.5
 LEVELS = 60
-#: Bits of the filter for each (n-gram, level), and probes for each. A filter of over MAX_FILTER_BYTES is not broadcast: n-grams go to its segments.
+#: Bits of the filter for each (n-gram, level), and probes for each. A filter of over MAX_FILTER_BYTES is not sent to executors: n-grams go to its segments.
 BITS_PER_ENTRY = 8
 PROBES = 5
 MAX_FILTER_BYTES = 256 << 20
 #: Types with over this share of the training tokens are looked up in a broadcast table: 1 / HEAD_SHARE types at most.
 HEAD_SHARE = 1e-6
 #: Bytes of text that are counted, and scored, at once; n-grams that are probed at once.
-COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 8 << 20, 4 << 20, 1 << 17
+COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 4 << 20, 2 << 20, 1 << 16
 #: Bytes of text for each segment of the table of counts.
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 MIXES = np.array([0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98])
 
 END = np.uint64(xxhash.xxh64_intdigest(b" end of text", 11))
@@ -98,9 +99,12 @@ def places(hashes: np.ndarray, level: int | np.ndarray, bits: np.ndarray | int)
 
 @dataclass
 class CountFilter:
-    """Segments of the filter, one after another, and totals of the training tokens. Without bits, the filter is too large to be in one place."""
+    """Segments of the filter, one after another, and totals of the training tokens. Without bits, the filter is too large to be in one place.
 
-    bits: np.ndarray
+    bits may be the name of a file that each executor has: its Python workers map it and share one copy.
+    """
+
+    bits: np.ndarray | str
     starts: np.ndarray
     sizes: np.ndarray
     tokens: int
@@ -110,6 +114,8 @@ class CountFilter:
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """By n-gram: the count of the highest level below which every probe of every level is set."""
+        if isinstance(self.bits, str):
+            self.bits = np.memmap(SparkFiles.get(self.bits), np.uint8, "r")
         parts = [self._counts(hashes[at : at + PROBE_ROWS]) for at in range(0, len(hashes), PROBE_ROWS)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
@@ -225,15 +231,17 @@ def build_filter(train: DataFrame, segments: int, text_col: str = "text") -> tup
         held = exact.select("seg", "grams", "levels", "entries", "hashes", "counts").mapInArrow(_with_filter, "seg int, hashes binary, counts binary, bits binary, size long")
         return saved(held), CountFilter(none.view(np.uint8), none, none, totals["tokens"], totals["types"], none, none)
     filled = exact.select("seg", "grams", "levels", "entries").mapInArrow(_fill_segment(BITS_PER_ENTRY), "seg int, bits binary, size long").toArrow()
-    sizes, parts = np.zeros(segments, np.int64), [b""] * segments
-    for s, b, n in zip(filled["seg"].to_pylist(), filled["bits"].to_pylist(), filled["size"].to_pylist(), strict=True):
-        sizes[s], parts[s] = n, b
-    starts = np.concatenate(([0], np.cumsum([len(b) for b in parts])[:-1]))
+    sizes = np.zeros(segments, np.int64)
+    order = np.argsort(filled["seg"].to_numpy())
+    sizes[filled["seg"].to_numpy()] = filled["size"].to_numpy()
+    lengths = -(-sizes // 8)
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    parts = (filled["bits"][int(k)].as_py() for k in order)
+    name = put_file(train.sparkSession, [b"\0"] if not len(order) else parts)
     head = exact.select("hashes", "counts").mapInArrow(_head(totals["tokens"] * HEAD_SHARE), "hash long, n long").toArrow()
     keys = head["hash"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    bits = np.frombuffer(b"".join(parts) or b"\0", np.uint8)
-    made = CountFilter(bits, starts, sizes, totals["tokens"], totals["types"], keys[order], head["n"].to_numpy()[order])
+    made = CountFilter(name, starts, sizes, totals["tokens"], totals["types"], keys[order], head["n"].to_numpy()[order])
     return exact.select("seg", "hashes", "counts"), made
 
 
@@ -269,14 +277,11 @@ def _gain_columns(gain: np.ndarray) -> dict[str, pa.Array]:
     return {"level": pa.array(at[0]), "mix": pa.array(at[1]), "gain": pa.array(gain.reshape(-1))}
 
 
-def fit_mix(
-    train: DataFrame, shared, n: int, fit_docs: int = 2000, id_col: str = "doc_id", text_col: str = "text", exact: DataFrame | None = None, segments: int = 0
-) -> np.ndarray:
-    """shared: the broadcast filter. By level, the weight that suits about fit_docs training documents best, each token left out of its own counts.
+def fit_mix(train: DataFrame, shared, text_col: str = "text", exact: DataFrame | None = None, segments: int = 0) -> np.ndarray:
+    """shared: the broadcast filter. By level, the weight that suits all training documents best, each token left out of its own counts.
 
-    With exact, the filter is in its segments and the documents' n-grams are sent there.
+    What comes back from a task is a number for each level and weight. With exact, the filter is in its segments and the documents' n-grams are sent there.
     """
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = np.zeros((LEVELS + 1, len(MIXES)))
@@ -291,7 +296,7 @@ def fit_mix(
         return pa.table(_gain_columns(_gains(*counts, shared.value)))
 
     schema = "level long, mix long, gain double"
-    picked = train.filter(draw < fit_docs / max(n, 1)).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    picked = train.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     if exact is None:
         gains = picked.mapInArrow(run, schema)
     else:
@@ -467,7 +472,7 @@ def score_documents(
     words are counted exactly, by hash segments that grow in number with the input, and each
     segment writes its own part of the log-frequency filter: an n-gram of count c is entered for
     levels 1 to 1 + log(c), and a count is read back by probing level after level. The filter holds
-    all n-grams at BITS_PER_ENTRY bits for each (n-gram, level). Up to MAX_FILTER_BYTES it is broadcast;
+    all n-grams at BITS_PER_ENTRY bits for each (n-gram, level). Up to MAX_FILTER_BYTES each executor gets one copy, which its workers share;
     a larger one stays in its segments, and the n-grams of each run of texts are sent there and their
     counts come back, with the same scores. score is the log10 probability under
     a mixture of pair and word, whose weights are fitted by leaving one out. base_score needs exact
@@ -480,20 +485,20 @@ def score_documents(
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(text.alias("_text"), F.col(id_col).alias("_id"), F.coalesce(F.col(held_out_col), F.lit(False)).alias("_held"))
-    shape = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b"), F.count_if(~F.col("_held")).alias("n")).first()
-    segments = max(12, -(-shape["b"] // SEGMENT_BYTES))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    segments = max(12, -(-size // SEGMENT_BYTES))
     learned = rows.filter(~F.col("_held"))
     exact, grams = build_filter(learned, segments, "_text")
     shared = docs.sparkSession.sparkContext.broadcast(grams)
     kind = rows.schema["_id"].dataType.simpleString()
     scored = f"id {kind}, held boolean, n long, known long, base double, score double"
     if len(grams.sizes):
-        mix = fit_mix(learned, shared, shape["n"], id_col="_id", text_col="_text")
+        mix = fit_mix(learned, shared, "_text")
         asked = rows.mapInArrow(_score_runs(shared, mix, segments), _ASK)
         told = asked.groupBy("seg").cogroup(exact.groupBy("seg")).applyInArrow(_answer, _TELL)
         whole = told.groupBy("run").applyInArrow(_put_together, scored)
     else:
-        mix = fit_mix(learned, shared, shape["n"], id_col="_id", text_col="_text", exact=exact, segments=segments)
+        mix = fit_mix(learned, shared, "_text", exact, segments)
         asked = rows.mapInArrow(_ask_segments(segments), _ASK_GRAMS)
         whole = _told(asked, exact).groupBy("run").applyInArrow(_score_told(grams, mix), scored)
     norm = float(np.log10(grams.tokens + 0.5 * (grams.types + 1)))

@@ -61,6 +61,42 @@ def test_lm_score_of_a_filter_past_the_bound(spark, sf_dir, monkeypatch):
         assert (r["n_tokens"], r["n_known"]) == (want[r["doc_id"]]["n_tokens"], want[r["doc_id"]]["n_known"])
 
 
+def test_lm_score_against_plain_counts(spark):
+    rng = random.Random(31)
+    vocab = [f"w{int(rng.paretovariate(0.9))}" for _ in range(4000)]
+    docs = {i: " ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 120))) for i in range(400)}
+    held = {i for i in docs if i % 7 == 0}
+    df = spark.createDataFrame([(i, t, i in held) for i, t in docs.items()], "doc_id long, text string, _held boolean")
+    got = {r["doc_id"]: r["score"] for r in score_documents(df).collect()}
+
+    words = {i: t.encode().split() + [None] for i, t in docs.items()}  # None: the end, which also stands before the first word
+    pairs = {i: list(zip([None, *w], w, strict=False)) for i, w in words.items()}
+    one, two = (Counter(x for i, xs in of.items() if i not in held for x in xs) for of in (words, pairs))
+    read = {n: float(level_counts()[level_of(np.array([n]))[0]]) for n in {0, *one.values(), *two.values()}}
+    n, v = sum(one.values()), len(one)
+    assert abs(sum(read[c] for c in one.values()) / n - 1) < 0.15 and abs(sum(read[c] for c in two.values()) / n - 1) < 0.15
+
+    def parts(a, b, less=0):
+        own, first, both = read[one[b]], read[one[a]], min(read[two[a, b]], read[one[b]])
+        return (max(x - less, 0) for x in (own, max(first, both), both))
+
+    single = lambda own: (own + 0.5) / (n + 0.5 * (v + 1))
+    level = lambda c: int(level_of(np.array([c]))[0])
+    gain = np.zeros((lm_score.LEVELS + 1, len(lm_score.MIXES)))
+    for i in docs.keys() - held:
+        for a, b in pairs[i]:
+            own, first, both = parts(a, b, 1)
+            gain[level(first + 1)] += np.log(lm_score.MIXES * min(both, first) / max(first, 1) + (1 - lm_score.MIXES) * single(own))
+    mix = lm_score.MIXES[gain.argmax(axis=1)]
+    for i in docs:
+        want = 0.0
+        for a, b in pairs[i]:
+            own, first, both = parts(a, b)
+            m = mix[level(first)] if first > 0 else 0.0
+            want += math.log10(min(m * both / max(first, 1) + (1 - m) * single(own), 1.0))
+        assert got[i] == pytest.approx(want, rel=0.05), i  # false positives of the filter, some 2 % of probes
+
+
 def test_levels_and_filter():
     counts = np.arange(0, 5000)
     level = level_of(counts)
