@@ -117,8 +117,9 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: id, size, source_size, target, copies, taken.
+    """One row per document: id, size, source_size, target, copies, taken, and the columns named in carry.
 
     size is the number of words; copies is how often the mix repeats the document, taken is
     copies * size. A source's documents share the rate target / source_size: its whole part is
@@ -126,15 +127,17 @@ def mix_sources(
     source is cut by a hash of the row into leaves of some LEAF_ROWS rows, each leaf leaves one
     fractional document at most, and those meet again over FANOUT leaves at a time until one per
     source is left, which is rounded to the nearer side: a source's words miss its target by half
-    of one document at most. The hash of id and row content seeds every draw, so reruns agree.
+    of one document at most. The hash of id and text seeds every draw, so reruns agree.
 
     A null text has size 0. A null source is a source of its own, last in order. Documents of size 0
-    take nothing and get the whole part of the rate as copies. Rows that repeat an id and a size
-    are decided together. Other columns of the input are not read. An empty table gives an empty
+    take nothing and get the whole part of the rate as copies. Rows of a source that repeat id and text
+    are decided together, as one document of their common size. Other columns of the input are not read. An empty table gives an empty
     result.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
-    rows = saved(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), words.alias("_size")))
+    row = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    carried = F.struct(*[F.col(c) for c in carry or [id_col]]).alias("_carried")
+    rows = saved(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), words.alias("_size"), row.alias("_row"), carried))
     sources = saved(rows.groupBy("_source").agg(F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_n")))
     if sources.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -152,9 +155,7 @@ def mix_sources(
         )
         .withColumn("_group", (F.row_number().over(Window.orderBy(F.col("_s").asc_nulls_last()))).cast("int"))
     )
-    keyed = rows.withColumn("_row", F.xxhash64(F.col("_id").cast("string"), "_size")).join(
-        F.broadcast(plan), rows["_source"].eqNullSafe(plan["_s"])
-    )
+    keyed = rows.join(F.broadcast(plan), rows["_source"].eqNullSafe(plan["_s"]))
     entries = (
         keyed.filter((F.col("_size") > 0) & (F.col("_rate") > EPS))
         .groupBy("_row", "_group", "_leaves")
@@ -183,6 +184,7 @@ def mix_sources(
             F.col("_target").alias("target"),
             copies.cast("long").alias("copies"),
             (copies * F.col("_size")).cast("long").alias("taken"),
+            *[F.col("_carried").getField(c).alias(c) for c in carry or []],
         )
     )
 

@@ -75,14 +75,27 @@ def jaccard(one: pa.Array, two: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def _merged(joined: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(_node, _root) after edges join what joined (the same, or None) has joined so far: only the roots that edges touch are worked on."""
+    if joined is None:
+        return saved(components(edges))
+    root = joined.select(F.col("_node").alias("_n"), F.col("_root").alias("_r"))
+    for end in ("_u", "_v"):
+        edges = edges.join(root, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_r", end)).drop("_n", "_r")
+    moved = components(edges).select(F.col("_node").alias("_n"), F.col("_root").alias("_r"))
+    old = joined.join(moved, F.col("_root") == F.col("_n"), "left").select("_node", F.coalesce("_r", "_root").alias("_root"))
+    new = moved.join(joined, F.col("_n") == F.col("_node"), "left_anti").select(F.col("_n").alias("_node"), F.col("_r").alias("_root"))
+    return saved(old.union(new))
+
+
 def shingle_duplicates(docs: DataFrame, width: int = WIDTH, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, component_id, the smallest id that links reach, the document's own included.
 
     Documents link when least of their distinct shingles of width words are common to both (Jaccard), which is
     checked on the whole sets. Texts with one set fold into one row before candidates are made. Candidates
     share a band. They are checked against one member of the bucket first, in rounds with other members
-    until a round links nothing more; then all pairs of a bucket that no links join are checked, so that
-    only members of different groups make pairs. A null or blank text has the empty set. A null id
+    as long as that links more and buckets have more open pairs than members; then all pairs of a bucket that no links join
+    are checked, so that only members of different groups make pairs. A null or blank text has the empty set. A null id
     is never the smallest while another id is there. Rows that repeat an id give a row each.
     """
     text = F.col(text_col).cast("string")
@@ -99,24 +112,28 @@ def shingle_duplicates(docs: DataFrame, width: int = WIDTH, least: float = LEAST
         one, two = (sets.select(F.col("_set").alias(n), F.col("_hashes").alias(f"{n}h")) for n in ("_u", "_v"))
         return saved(pairs.join(one, "_u").join(two, "_v").filter(F.arrow_udf(jaccard, "double")("_uh", "_vh") >= least).select("_u", "_v"))
 
-    edges, joined = None, None
+    live, joined, last = keyed.withColumn("_root", F.col("_set")), None, False
     for turn in range(1 << 30):
-        live = keyed.withColumn("_root", F.col("_set"))
-        if joined is not None:
-            live = keyed.join(joined, keyed["_set"] == joined["_node"], "left").select("_key", "_set", F.coalesce("_root", "_set").alias("_root"))
-            open_ = live.groupBy("_key").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a < _b").select("_key")
-            live = saved(live.join(open_, "_key").select("_key", "_set", "_root"))
-        lead = live.groupBy("_key").agg(F.min_by(F.struct("_set", "_root"), F.xxhash64("_set", F.lit(turn))).alias("_lead"))
-        met = live.join(lead, "_key").filter(F.col("_root") != F.col("_lead._root"))
-        more = checked(met.select(F.col("_set").alias("_u"), F.col("_lead._set").alias("_v")))
-        last = more.isEmpty()
         if last:
             other = live.select("_key", F.col("_set").alias("_v"), F.col("_root").alias("_other"))
             more = checked(live.join(other, "_key").filter("_root < _other").select(F.col("_set").alias("_u"), "_v"))
-        edges = more if edges is None else edges.union(more)
-        joined = saved(components(edges))
+        else:
+            lead = live.groupBy("_key").agg(F.min_by(F.struct("_set", "_root"), F.xxhash64("_set", F.lit(turn))).alias("_lead"))
+            met = live.join(lead, "_key").filter(F.col("_root") != F.col("_lead._root"))
+            more = checked(met.select(F.col("_set").alias("_u"), F.col("_lead._set").alias("_v")))
+        none = more.isEmpty()
+        if not none or joined is None:
+            joined = _merged(joined, more)
         if last:
             break
+        live = keyed.join(joined, keyed["_set"] == joined["_node"], "left").select("_key", "_set", F.coalesce("_root", "_set").alias("_root"))
+        roots = live.groupBy("_key", "_root").agg(F.count(F.lit(1)).alias("_c"))
+        open_ = roots.groupBy("_key").agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+        live = saved(live.join(open_.select("_key", "_n", ((F.col("_n") * F.col("_n") - F.col("_q")) / 2).alias("_open")), "_key"))
+        left = live.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("_open") / F.col("_n")), F.lit(0.0)).alias("pairs")).first()
+        if not left["rows"]:
+            break
+        last = none or left["pairs"] <= 4 * left["rows"]
 
     root = distinct.join(joined, distinct["_set"] == joined["_node"], "left").select("_set", "_first", F.coalesce("_root", "_set").alias("_root"))
     first = root.groupBy("_root").agg(F.min("_first").alias("_component"))

@@ -204,7 +204,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, budget: int = 3, width: int = 3, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, budget: int = 3, width: int = 3, least: float | None = None, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id.
 
@@ -212,12 +212,20 @@ def near_duplicates(
     smallest id that links reach, the document's own included. Exact copies and other documents
     with one fingerprint fold into one row before candidates are made, so copies make no pairs.
 
+    With least, documents link when their sets of shingles have that Jaccard similarity, and the fingerprint is left out. 64 bits
+    cannot tell that (at 0.8 some 10 bits differ, and a ring of segments that short keeps nearly all pairs), so the candidates
+    then come from shingle_duplicates.
+
     A null or blank text has the fingerprint 0 and links like any other. Whole texts are hashed,
     of any length. A null id is never the smallest while another id is there. Rows that repeat an id give
     a row each. Other columns of the input are not read. An empty table gives an empty result.
     """
     if not 0 <= budget < 16:
         raise ValueError("budget is 0 to 15 bits")
+    if least is not None:
+        from .shingle_dedup import shingle_duplicates  # it takes components() from here
+
+        return shingle_duplicates(docs, width, least, id_col, text_col)
     prints = saved(
         with_fingerprint(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", width).select("_id", "_fp")
     )

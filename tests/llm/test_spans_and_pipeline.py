@@ -127,7 +127,7 @@ def test_pipeline_stages(spark):
         if name == "toxicity":
             want = ids(score_toxicity(docs, op3_model(spark, sf_dir, docs)).filter("_toxicity.score < 0.7"))
         elif name == "near_duplicates":
-            want = ids(near_duplicates(docs).filter("doc_id = component_id"))
+            want = ids(near_duplicates(docs, width=5, least=0.8).filter("doc_id = component_id"))
         elif name == "decontamination":
             want = ids(find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("not contaminated"))
         elif name == "mixture":
@@ -158,6 +158,33 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
     assert 20 < len(near) < 60 and sorted(r["doc_id"] for r in got) == [i for i, f in enumerate(first) if i == f]
 
 
+def test_pipeline_of_repeated_ids(spark):
+    """Ids repeat with other texts, are null, and whole rows repeat; each document has the fate of its own text."""
+    sf_dir, rng = "/root/testdata/sf0.001", random.Random(23)
+    leak = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("length(text) > 80").first()["text"]
+    long = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(60)) for _ in range(40)]
+    rows = [(k // 2 if k < 30 else None, t, "ab"[k % 2]) for k, t in enumerate(long)]  # pairs of an id, ten without one
+    rows += [(0, long[7] + " and more", "a"), (5, f"{long[8][:30]} {leak} tail", "b"), (None, f"{leak} {long[9][:30]}", "a"), rows[3], rows[3], rows[31]]
+    docs = spark.createDataFrame([(i, t, "en", s, 1, "x") for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long, _content string")
+    stages = dict(corpus_pipeline.STAGES)
+    told = lambda df: sorted((str(r["doc_id"]), r["text"], r["source"]) for r in df.collect())
+
+    kept = told(stages["near_duplicates"](spark, docs, sf_dir))
+    want = [r for k, r in enumerate(rows) if k < 40 and k != 7] + [rows[40], rows[41], rows[42]]  # (0, long[7] ...) is before (3, long[7])
+    assert kept == sorted((str(i), t, s) for i, t, s in want)
+    clean = told(stages["decontamination"](spark, docs, sf_dir))
+    assert clean == sorted((str(i), t, s) for i, t, s in rows if leak not in t)
+    mixed = told(stages["mixture"](spark, docs, sf_dir))
+    given = {r: told(docs).count(r) for r in told(docs)}
+    assert set(mixed) <= set(given) and max(mixed.count(r) / n for r, n in given.items()) <= 3
+    words = {s: sum(len(t.split()) for _, t, own in rows if own == s) for s in "ab"}
+    target = {"a": sum(words.values()) * 5 / 7, "b": sum(words.values()) * 2 / 7}
+    got = {s: sum(len(t.split()) for _, t, own in mixed if own == s) for s in "ab"}
+    assert all(abs(got[s] - target[s]) <= 3 * 62 for s in "ab")
+    assert told(stages["toxicity"](spark, docs, sf_dir)) == told(docs)
+    assert stages["sharding"](spark, docs, sf_dir).count() == len(rows)
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_pipeline_of_empty_and_null_documents(spark, stage):
     name, f = corpus_pipeline.STAGES[stage]
