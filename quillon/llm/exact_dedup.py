@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import text_or_empty
+from ._common import saved, text_or_empty
+
+#: A text that more than this share of the rows have is met by a broadcast: 1 / HOT_SHARE texts at most.
+HOT_SHARE = 1e-3
 
 
 def md5_hash(text: Column) -> Column:
@@ -27,7 +30,8 @@ def exact_dedup(
     looks at the bytes of texts that share a hash, so a hash collision never joins two texts. Equal
     rows fold into one before the shuffle, which is what makes a text that a third of all rows
     share cheap. Rows find their class again by (hash, SHA-256); two classes with the same pair
-    stop the query instead of mixing.
+    stop the query instead of mixing. That join shuffles no texts. The classes of over HOT_SHARE of all
+    rows, 1 / HOT_SHARE of them at most, are broadcast, so that their rows stay where they are.
 
     keep is "min" (smallest id stays) or "max". A null text is the empty text. A null id never
     wins over another id; a group that has no other id has a null keep_id and keeps its rows. Rows
@@ -41,7 +45,7 @@ def exact_dedup(
     )
     pick = F.min if keep == "min" else F.max
     classes = rows.groupBy("_hash", "_text").agg(pick("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
-    found = (
+    found = saved(
         classes.select("_hash", F.unhex(F.sha2("_text", 256)).alias("_sha"), "_keep", "_n")
         .groupBy("_hash", "_sha")
         .agg(F.first("_keep").alias("_keep"), F.first("_n").alias("_n"), F.count(F.lit(1)).alias("_classes"))
@@ -54,16 +58,19 @@ def exact_dedup(
             .alias("_n"),
         )
     )
-    return (
-        rows.select("_id", "_hash", F.unhex(F.sha2("_text", 256)).alias("_sha"))
-        .join(found, ["_hash", "_sha"])
-        .select(
-            F.col("_id").alias(id_col),
-            F.col("_keep").alias("keep_id"),
-            F.col("_n").alias("group_size"),
-            F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"),
-            F.lower(F.hex("_sha")).alias("text_sha256"),
-        )
+    total = found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = found.filter(F.col("_n") > HOT_SHARE * total)
+    short = saved(rows.select("_id", "_hash", F.unhex(F.sha2("_text", 256)).alias("_sha")))
+    key = ["_hash", "_sha"]
+    told = short.join(F.broadcast(hot), key).unionByName(
+        short.join(F.broadcast(hot.select(*key)), key, "left_anti").join(found.filter(F.col("_n") <= HOT_SHARE * total), key)
+    )
+    return told.select(
+        F.col("_id").alias(id_col),
+        F.col("_keep").alias("keep_id"),
+        F.col("_n").alias("group_size"),
+        F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"),
+        F.lower(F.hex("_sha")).alias("text_sha256"),
     )
 
 

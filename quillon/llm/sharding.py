@@ -19,15 +19,17 @@ def rendezvous_shard(key: Column, weights: list[float]) -> Column:
     return F.array_min(F.array(*draws)).getField("s")
 
 
-def add_slots(rows: DataFrame, keys: DataFrame, order: list[str], n_shards: int, slices: int) -> DataFrame:
+#: Rows that are numbered together, where MAX_SLICES allows it; the table of offsets has MAX_SLICES rows at most.
+SLICE_ROWS, MAX_SLICES = 4096, 1_000_000
+
+
+def add_slots(rows: DataFrame, keys: DataFrame, order: list[str]) -> DataFrame:
     """Numbers the rows of each shard from 0 without a gap, in parallel.
 
-    rows and keys hold _shard and _slice (a hash of the key). Each (shard, slice) is numbered on
+    rows and keys hold _shard and _slice (a hash of the row). Each (shard, slice) is numbered on
     its own and moved by the number of rows in the shard's earlier slices. That table of offsets
-    has n_shards x slices rows at most, whatever the input, and is broadcast.
+    has MAX_SLICES rows at most, whatever the input, and is broadcast.
     """
-    if n_shards * slices > 1_000_000:
-        raise ValueError("n_shards * slices is limited to 1,000,000, as the offsets are broadcast")
     upto = Window.partitionBy("_shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keys.groupBy("_shard", "_slice")
@@ -47,7 +49,7 @@ def shard_records(
     n_shards: int = 24,
     weights: list[float] | None = None,
     grown_weight: float = 1.0,
-    slices: int = 1024,
+    slices: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: list[str] | None = None,
@@ -55,7 +57,9 @@ def shard_records(
     """id, size, text_crc32, law, shard, slot, grown_shard, and the columns named in carry.
 
     size is the UTF-8 bytes of the text plus 8. grown_shard is the shard with one more shard of
-    weight grown_weight. slot numbers the rows of a shard from 0 by (slice, id, text checksum).
+    weight grown_weight. slot numbers the rows of a shard from 0 by (slice, id, text checksum); a slice is
+    a hash of id, checksum and size, so that one id with many texts is many slices. There are as many slices as give some
+    SLICE_ROWS rows each (MAX_SLICES over all shards at most), or as slices says.
     Only the key decides the shard: rows with the same id, null ids among them, share a shard, and
     rows that repeat a whole record get the numbers next to each other. A null text has no bytes
     and the checksum 0. carry names input columns to keep; other columns of the input are not
@@ -64,20 +68,26 @@ def shard_records(
     weights = [1.0] * n_shards if weights is None else [float(w) for w in weights]
     if len(weights) != n_shards or min(weights) <= 0:
         raise ValueError("one positive weight per shard is needed")
-    key = F.xxhash64(F.col(id_col).cast("string"))
+    if slices is None:
+        slices = max(1, min(-(-docs.count() // (n_shards * SLICE_ROWS)), MAX_SLICES // n_shards))
+    if n_shards * slices > MAX_SLICES:
+        raise ValueError(f"n_shards * slices is limited to {MAX_SLICES}, as the offsets are broadcast")
+    told = [
+        F.xxhash64(F.col(id_col).cast("string")).alias("_key"),
+        F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_bytes"),
+        F.coalesce(F.crc32(F.col(text_col).cast("string").cast("binary")), F.lit(0)).cast("long").alias("_crc"),
+    ]
     placed = [
         rendezvous_shard(F.col("_key"), weights).alias("_shard"),
-        F.pmod(F.xxhash64("_key", F.lit(-1)), F.lit(slices)).cast("int").alias("_slice"),
+        F.pmod(F.xxhash64("_key", "_crc", "_bytes"), F.lit(slices)).cast("int").alias("_slice"),
     ]
-    keys = docs.select(key.alias("_key")).select(*placed)
+    keys = docs.select(*told).select(*placed)
     rows = docs.select(
-        key.alias("_key"),
+        *told,
         F.col(id_col).alias("_id"),
-        F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_bytes"),
-        F.coalesce(F.crc32(F.col(text_col).cast("string").cast("binary")), F.lit(0)).cast("long").alias("_crc"),
         F.struct(*[F.col(c) for c in carry or [id_col]]).alias("_carried"),
     ).select("*", *placed, rendezvous_shard(F.col("_key"), [*weights, float(grown_weight)]).alias("_grown"))
-    numbered = add_slots(rows, keys, ["_id", "_crc", "_bytes"], n_shards, slices)
+    numbered = add_slots(rows, keys, ["_id", "_crc", "_bytes"])
     return numbered.select(
         F.col("_id").alias(id_col),
         (F.col("_bytes") + 8).alias("size"),

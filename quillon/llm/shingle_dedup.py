@@ -19,6 +19,8 @@ from .textbytes import each_text
 WIDTH, LEAST = 5, 0.8
 #: Bands of ROWS minima: a pair at 0.8 shares one with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.99993.
 BANDS, ROWS = 24, 5
+#: Bytes of the sets of a bucket that are in a task at once, twice over.
+BLOCK_BYTES = 8 << 20
 #: Shingles whose minima are taken at once.
 CHUNK = 2048
 
@@ -88,14 +90,72 @@ def _merged(joined: DataFrame | None, edges: DataFrame) -> DataFrame:
     return saved(old.union(new))
 
 
-def shingle_duplicates(docs: DataFrame, width: int = WIDTH, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bucket_links(sets: list[np.ndarray], roots: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """A tree of links between the members of a bucket that roots keep apart: all such pairs of members are looked at, through an index of their shingles.
+
+    Members of the group that is largest at first are met from the side of the others, so what is done follows the number of others.
+    """
+    size, owner = np.array([len(s) for s in sets]), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    rank = np.cumsum(np.concatenate(([0], flat[order][1:] != flat[order][:-1]))) if len(flat) else np.zeros(0, int)
+    start = np.searchsorted(rank, np.arange(rank[-1] + 2 if len(rank) else 1))
+    place, own = np.zeros(len(flat), np.int64), owner[order]
+    place[order] = rank
+    first = np.concatenate(([0], np.cumsum(size)))
+    _, label, held = np.unique(roots, return_inverse=True, return_counts=True)
+    label, big, links = label.astype(np.int64), int(held.argmax()), []
+    for m in np.argsort(held[label], kind="stable"):
+        if label[m] == big:
+            continue
+        runs = place[first[m] : first[m + 1]]
+        lens = start[runs + 1] - start[runs]
+        at = np.repeat(start[runs] - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
+        both = np.bincount(own[at], minlength=len(sets))
+        near = np.flatnonzero((label != label[m]) & (both >= least * (size[m] + size - both)))
+        for x in near:
+            if label[x] != label[m]:
+                links.append((int(m), int(x)))
+                mine, other = (label[x], label[m]) if label[x] == big else (label[m], label[x])
+                label[label == other] = mine
+    return links
+
+
+def _open_links(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by (_key, _one, _two); a bucket may go over the end of a batch."""
+
+        def found(held: list[tuple]) -> list[tuple[int, int]]:
+            if len({r[1] for r in held}) < 2:
+                return []
+            got = bucket_links([np.frombuffer(h, np.uint64) for _, _, h in held], np.array([r[1] for r in held]), least)
+            return [(held[i][0], held[j][0]) for i, j in got]
+
+        now, held = None, []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for *key, one, root, h in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if key != now:
+                    out += found(held)
+                    now, held = key, []
+                held.append((one, root, h))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["_u", "_v"])
+        out = found(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["_u", "_v"])
+
+    return run
+
+
+def shingle_duplicates(
+    docs: DataFrame, width: int = WIDTH, least: float = LEAST, block: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One row per document: id, component_id, the smallest id that links reach, the document's own included.
 
     Documents link when least of their distinct shingles of width words are common to both (Jaccard), which is
     checked on the whole sets. Texts with one set fold into one row before candidates are made. Candidates
-    share a band. They are checked against one member of the bucket first, in rounds with other members
-    as long as that links more and buckets have more open pairs than members; then all pairs of a bucket that no links join
-    are checked, so that only members of different groups make pairs. A null or blank text has the empty set. A null id
+    share a band. They are checked against one member of the bucket first. In a bucket of which that leaves several groups, members of
+    different groups are then checked with each other in the task that holds their sets, so that pairs are no rows; a bucket of over block
+    bytes is cut into blocks by a hash, and each pair of its blocks is a bucket of its own. A null or blank text has the empty set. A null id
     is never the smallest while another id is there. Rows that repeat an id give a row each.
     """
     text = F.col(text_col).cast("string")
@@ -103,37 +163,28 @@ def shingle_duplicates(docs: DataFrame, width: int = WIDTH, least: float = LEAST
     prints = saved(rows.select("_id", F.col("_p.set").alias("_set"), F.col("_p.keys").alias("_keys"), F.col("_p.hashes").alias("_hashes")))
     distinct = saved(prints.groupBy("_set").agg(F.min("_id").alias("_first"), F.first("_keys").alias("_keys")))
     keyed = distinct.select("_set", F.explode("_keys").alias("_key"))
-    shared = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    keyed = saved(keyed.join(shared.select("_key"), "_key").select("_key", "_set"))
+    shared = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min_by("_set", F.xxhash64("_set")).alias("_lead")).filter("_n > 1")
+    keyed = saved(keyed.join(shared, "_key").select("_key", "_set", "_n", "_lead"))
     sets = saved(prints.join(keyed.select("_set").distinct(), "_set", "left_semi").select("_set", "_hashes").dropDuplicates(["_set"]))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.greatest("_u", "_v").alias("_u"), F.least("_u", "_v").alias("_v")).distinct()
-        one, two = (sets.select(F.col("_set").alias(n), F.col("_hashes").alias(f"{n}h")) for n in ("_u", "_v"))
-        return saved(pairs.join(one, "_u").join(two, "_v").filter(F.arrow_udf(jaccard, "double")("_uh", "_vh") >= least).select("_u", "_v"))
-
-    live, joined, last = keyed.withColumn("_root", F.col("_set")), None, False
-    for turn in range(1 << 30):
-        if last:
-            other = live.select("_key", F.col("_set").alias("_v"), F.col("_root").alias("_other"))
-            more = checked(live.join(other, "_key").filter("_root < _other").select(F.col("_set").alias("_u"), "_v"))
-        else:
-            lead = live.groupBy("_key").agg(F.min_by(F.struct("_set", "_root"), F.xxhash64("_set", F.lit(turn))).alias("_lead"))
-            met = live.join(lead, "_key").filter(F.col("_root") != F.col("_lead._root"))
-            more = checked(met.select(F.col("_set").alias("_u"), F.col("_lead._set").alias("_v")))
-        none = more.isEmpty()
-        if not none or joined is None:
-            joined = _merged(joined, more)
-        if last:
-            break
-        live = keyed.join(joined, keyed["_set"] == joined["_node"], "left").select("_key", "_set", F.coalesce("_root", "_set").alias("_root"))
-        roots = live.groupBy("_key", "_root").agg(F.count(F.lit(1)).alias("_c"))
-        open_ = roots.groupBy("_key").agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") * F.col("_c")).alias("_q"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
-        live = saved(live.join(open_.select("_key", "_n", ((F.col("_n") * F.col("_n") - F.col("_q")) / 2).alias("_open")), "_key"))
-        left = live.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("_open") / F.col("_n")), F.lit(0.0)).alias("pairs")).first()
-        if not left["rows"]:
-            break
-        last = none or left["pairs"] <= 4 * left["rows"]
+    pairs = keyed.filter("_set != _lead").select(F.greatest("_set", "_lead").alias("_u"), F.least("_set", "_lead").alias("_v")).distinct()
+    one, two = (sets.select(F.col("_set").alias(n), F.col("_hashes").alias(f"{n}h")) for n in ("_u", "_v"))
+    joined = _merged(None, saved(pairs.join(one, "_u").join(two, "_v").filter(F.arrow_udf(jaccard, "double")("_uh", "_vh") >= least).select("_u", "_v")))
+
+    live = keyed.filter("_n > 2").join(joined, keyed["_set"] == joined["_node"], "left").select("_key", "_set", F.coalesce("_root", "_set").alias("_root"))
+    live = live.join(sets.select("_set", F.octet_length("_hashes").alias("_bytes")), "_set")
+    open_ = live.groupBy("_key").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b"), F.ceil(F.sum("_bytes") / block).cast("int").alias("_blocks"))
+    dealt = (
+        live.join(open_.filter("_a < _b").select("_key", F.greatest("_blocks", F.lit(1)).alias("_blocks")), "_key")
+        .select("_key", "_set", "_root", "_blocks", F.pmod(F.xxhash64("_set"), "_blocks").cast("int").alias("_own"))
+        .select("_key", "_set", "_root", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+        .select("_key", F.least("_own", "_other").alias("_one"), F.greatest("_own", "_other").alias("_two"), "_set", "_root")
+        .join(sets, "_set").select("_key", "_one", "_two", "_set", "_root", "_hashes")
+    )
+    more = dealt.repartition("_key", "_one", "_two").sortWithinPartitions("_key", "_one", "_two").mapInArrow(_open_links(least), "_u long, _v long")
+    more = saved(more.distinct())
+    if not more.isEmpty():
+        joined = _merged(joined, more)
 
     root = distinct.join(joined, distinct["_set"] == joined["_node"], "left").select("_set", "_first", F.coalesce("_root", "_set").alias("_root"))
     first = root.groupBy("_root").agg(F.min("_first").alias("_component"))

@@ -173,19 +173,29 @@ def near_edges(fps: DataFrame, budget: int, block: int = BLOCK) -> DataFrame:
     )
 
 
+#: From this many edges on, a node with over HUB_SHARE of them is met by a broadcast: 2 / HUB_SHARE nodes at most.
+HUB_EDGES, HUB_SHARE = 1 << 20, 1e-3
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(_u, _v) to (_node, _root) for each node that has an edge; the root is the smallest node it reaches.
 
     Alternating stars: each node's larger neighbours move to its smallest neighbour, then each
-    node's smaller ones do. Minima fold before the shuffle, so a node with many neighbours is no
-    hot group. The rounds end when a round leaves the edges as they were; their number grows with the
-    logarithm of the longest path.
+    node's smaller ones do. Minima fold before the shuffle. The minima of nodes with over HUB_SHARE of the edges are broadcast
+    once there are HUB_EDGES, so that no task gets all edges of a hub. The rounds end when a round leaves the edges as they were; their number
+    grows with the logarithm of the longest path.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.union(e.select(F.col("_v"), F.col("_u"))) if large else e
-        least = both.groupBy("_u").agg(F.min("_v").alias("_m"))
-        met = both.join(least, "_u").select("_u", "_v", F.least("_u", "_m").alias("_m"))
+        least = both.groupBy("_u").agg(F.min("_v").alias("_m"), F.count(F.lit(1)).alias("_n"))
+        if seen[0] < HUB_EDGES:
+            met = both.join(least, "_u")
+        else:
+            hubs = least.filter(F.col("_n") > HUB_SHARE * seen[0])
+            rest = both.join(F.broadcast(hubs.select("_u")), "_u", "left_anti").join(least.filter(F.col("_n") <= HUB_SHARE * seen[0]), "_u")
+            met = both.join(F.broadcast(hubs), "_u").unionByName(rest)
+        met = met.select("_u", "_v", F.least("_u", "_m").alias("_m"))
         if large:
             return met.filter(F.col("_v") > F.col("_u")).select(F.col("_v").alias("_u"), F.col("_m").alias("_v")).distinct()
         moved = met.filter(F.col("_v") != F.col("_m")).select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
@@ -225,7 +235,7 @@ def near_duplicates(
     if least is not None:
         from .shingle_dedup import shingle_duplicates  # it takes components() from here
 
-        return shingle_duplicates(docs, width, least, id_col, text_col)
+        return shingle_duplicates(docs, width, least, id_col=id_col, text_col=text_col)
     prints = saved(
         with_fingerprint(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", width).select("_id", "_fp")
     )

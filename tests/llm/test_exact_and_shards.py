@@ -1,9 +1,13 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from quillon.llm import exact_dedup as exact_module
 from quillon.llm.exact_dedup import OP9_SQL, exact_dedup, op9_exact_dedup
 from quillon.llm.sharding import op8_sharding, shard_records
 
@@ -24,8 +28,10 @@ def test_exact_dedup_equals_sql(spark, sf_dir):
     assert rows_of(op9_exact_dedup(spark, sf_dir)) == duckdb_rows(OP9_SQL, sf_dir)
 
 
+@pytest.mark.parametrize("hot_share", [0.2, 1e-3, 1.0])
 @pytest.mark.parametrize("keep", ["min", "max"])
-def test_exact_dedup_odd_rows(spark, keep):
+def test_exact_dedup_odd_rows(spark, monkeypatch, keep, hot_share):
+    monkeypatch.setattr(exact_module, "HOT_SHARE", hot_share)  # some classes are broadcast, all, none
     got = exact_dedup(odd(spark, ROWS), keep=keep).collect()
     assert len(got) == len(ROWS)
     groups = {}
@@ -62,6 +68,28 @@ def test_shards(spark, sf_dir):
         assert own == list(range(len(own)))
 
 
+def plain_shard(key, weights):
+    own = xxhash.xxh64_intdigest(struct.pack("<Q", xxhash.xxh64_intdigest(str(key), 42)), 42)
+    unit = [((xxhash.xxh64_intdigest(struct.pack("<i", s), own) >> 11) + 0.5) * 2.0**-53 for s in range(len(weights))]
+    return min(range(len(weights)), key=lambda s: -math.log(unit[s]) / weights[s])
+
+
+def test_shards_against_plain_rendezvous(spark):
+    weights = [1.0, 2.5, 1.0, 0.5, 3.0]
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    for r in shard_records(docs, 5, weights, grown_weight=2.0).collect():
+        assert r["shard"] == plain_shard(r["doc_id"], weights) and r["grown_shard"] == plain_shard(r["doc_id"], [*weights, 2.0])
+
+
+def test_one_id_with_many_texts_is_many_slices(spark, monkeypatch):
+    from quillon.llm import sharding
+
+    monkeypatch.setattr(sharding, "SLICE_ROWS", 16)
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    got = shard_records(docs.union(docs.limit(5)), 3).collect()
+    assert len({r["shard"] for r in got}) == 1 and sorted(r["slot"] for r in got) == list(range(2005))
+
+
 def test_weights_growth_and_odd_rows(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     share = Counter(r["shard"] for r in shard_records(docs, 3, [1.0, 2.0, 5.0]).collect())

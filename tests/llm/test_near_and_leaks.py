@@ -6,6 +6,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillon.llm.decontaminate import OP7_SQL, find_leaks, op7_decontaminate
+from quillon.llm import simhash
+from quillon.llm.shingle_dedup import bucket_links, shingle_duplicates
 from quillon.llm.simhash import chain_start, components, fingerprint, forest, near_duplicates, near_edges, op4_simhash, ring_keys
 
 from ..compare import duckdb_rows, rows_of
@@ -76,14 +78,57 @@ def test_blocks_and_forest_lose_no_link(spark):
         assert union(fps, got) == want and len(got) < 20 * len(fps)
 
 
-def test_components_of_random_graphs(spark):
+@pytest.mark.parametrize("hub_edges", [1, 1 << 20])
+def test_components_of_random_graphs(spark, monkeypatch, hub_edges):
+    monkeypatch.setattr(simhash, "HUB_EDGES", hub_edges)  # at 1, nodes with over HUB_SHARE of the edges are hubs
+    monkeypatch.setattr(simhash, "HUB_SHARE", 0.02)
     rng = random.Random(10)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
+    links += [(2000, 2001 + i) for i in range(50)] + [(3000 + i, 2900) for i in range(50)]
     nodes = {x for a, b in links if a != b for x in (a, b)}
     got = {r["_node"]: r["_root"] for r in components(spark.createDataFrame(links, "_u long, _v long")).collect()}
     assert got == {k: v for k, v in union(nodes, [x for x in links if x[0] != x[1]]).items()}
 
 
+def _family(rng, n, words=60):
+    """A chain of texts, each with a word or two of the one before replaced, so that ends are far apart."""
+    text = [f"w{rng.randrange(10**5)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(text)
+        for _ in range(rng.randrange(1, 3)):
+            text[rng.randrange(words)] = f"x{rng.randrange(10**5)}"
+        out.append(text)
+    return out
+
+
+def _shingles(words, width=5):
+    return frozenset(" ".join(words[k : k + width]) for k in range(max(len(words) - width + 1, 1)))
+
+
+@pytest.mark.parametrize("block", [2000, 8 << 20])
+def test_similar_documents_against_all_pairs(spark, block):
+    rng = random.Random(33)
+    texts = [t for _ in range(4) for t in _family(rng, 60)] + [t for _ in range(30) for t in _family(rng, 2, 25)] + [["a"], ["a"], [], ["b", "c"]]
+    rng.shuffle(texts)
+    sets = [_shingles(t) if t else frozenset() for t in texts]
+    links = [(a, b) for b in range(len(texts)) for a in range(b) if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in shingle_duplicates(docs, block=block).collect()}
+    assert got == union(range(len(texts)), links) and len(links) > 500
+
+
+def test_bucket_links_find_what_all_pairs_do():
+    rng = random.Random(34)
+    for _ in range(30):
+        sets = [np.unique(np.array([rng.randrange(60) for _ in range(rng.randrange(1, 30))], np.uint64)) for _ in range(25)]
+        roots = np.array([rng.randrange(12) for _ in sets])
+        same = [(a, b) for a in range(25) for b in range(a) if roots[a] == roots[b]]
+        near = [(a, b) for a in range(25) for b in range(a) if len(np.intersect1d(sets[a], sets[b])) >= 0.5 * len(np.union1d(sets[a], sets[b]))]
+        got = bucket_links(sets, roots, 0.5)
+        assert all((max(x), min(x)) in near for x in got) and union(range(25), same + got) == union(range(25), same + near)
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(3, None, 1), (2, "", 1), (9, " ", 1), (None, "a b c d", 1), (5, "A b  C d", 1), (5, "a b c d", 1), (7, "x y z " * 30_000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _fp int")
