@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from ._common import table
 from .lm_score import mixed
 from .textbytes import text_runs
 
-#: Notices by which well-known licenses are granted, in their public wording.
+#: Notices by which well-known licenses are granted, and texts of short ones, in their public wording.
 TEMPLATES = {
     "Apache-2.0/short": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0/notice": (
@@ -38,6 +39,24 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "ISC/permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE."
+    ),
+    "MIT/full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+        "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES "
+        "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+        "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "MIT/short": "Released under the MIT License.",
     "MIT/permission": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
@@ -47,21 +66,32 @@ TEMPLATES = {
     "MPL-2.0/short": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 GRAM, WINNOW = 3, 2
-BAND = 8
+#: Words that an alignment may drift from its diagonal: a share of the template's, BAND at least.
+BAND, DRIFT = 8, 0.05
 
 #: Bytes to lower case; what is no ASCII letter or digit nor part of another letter becomes a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+#: No-break space, angle quotes, and the block of general punctuation with its dashes, spaces and quotes.
+_MARKS = re.compile(rb"\xc2[\xa0\xab\xbb]|\xe2[\x80\x81][\x80-\xbf]")
+
+
+def folded(text: bytes) -> bytes:
+    """The text in lower case with spaces for all that is no word, of the same length."""
+    flat = text.translate(_FOLD)
+    return flat if text.isascii() else _MARKS.sub(lambda m: b" " * len(m.group()), flat)
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
+    return folded(text).split()
 
 
-def gram_hashes(tokens: np.ndarray) -> np.ndarray:
-    """A hash for each GRAM tokens in a row."""
-    n = max(len(tokens) - GRAM + 1, 0)
-    out = np.zeros(n, np.uint64)
-    for k in range(GRAM):
+def gram_hashes(tokens: np.ndarray, width: int = GRAM) -> np.ndarray:
+    """A hash for each width tokens in a row."""
+    n = max(len(tokens) - width + 1, 0)
+    out = np.full(n, width, np.uint64)
+    for k in range(width):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + tokens[k : k + n])
     return out
 
@@ -81,74 +111,89 @@ def _digests(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class TemplateIndex:
-    """Fingerprints of all templates, sorted, each with its template and place."""
+    """Fingerprints of all templates, sorted, each with its template and place; widths are the numbers of words of a fingerprint that occur."""
 
     names: list[str]
     tokens: list[np.ndarray]
     keys: np.ndarray
     template: np.ndarray
     place: np.ndarray
+    widths: list[int]
 
 
 def build_index(templates: dict[str, str], least: float = 0.8) -> TemplateIndex:
-    """Templates whose words that may fail can leave no GRAM + WINNOW - 1 in a row enter all their grams, others the winnowed ones."""
+    """Templates enter winnowed fingerprints of GRAM words, where a place that keeps least of the words has GRAM + WINNOW - 1 of them in a row.
+
+    Where it may have fewer in a row, all fingerprints enter, and of as few words as are in a row for certain.
+    """
     names = sorted(templates)
     tokens = [_digests(words_of(templates[n].encode())) for n in names]
-    keys, owner, place = [], [], []
+    keys, owner, place, widths = [], [], [], set()
     for t, own in enumerate(tokens):
-        hashes = gram_hashes(own)
         spare = len(own) - math.ceil(least * len(own) - 1e-9)
-        at = winnowed(hashes) if -(-(len(own) - spare) // (spare + 1)) >= GRAM + WINNOW - 1 else np.arange(len(hashes))
+        run = -(-(len(own) - spare) // (spare + 1))
+        width = min(GRAM, max(run, 1))
+        hashes = gram_hashes(own, width)
+        at = winnowed(hashes) if run >= GRAM + WINNOW - 1 else np.arange(len(hashes))
         keys.append(hashes[at])
         owner.append(np.full(len(at), t))
         place.append(at)
+        widths.add(width)
     flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
     order = np.argsort(flat, kind="stable")
     join = lambda x: np.concatenate(x)[order] if x else np.zeros(0, int)
-    return TemplateIndex(names, tokens, flat[order], join(owner), join(place))
+    return TemplateIndex(names, tokens, flat[order], join(owner), join(place), sorted(widths))
+
+
+def band_of(template: np.ndarray) -> int:
+    return max(BAND, math.ceil(DRIFT * len(template)))
 
 
 def banded_alignment(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
     """(matched words, first word, after last word) of the best alignment of the template within band of text[i + diagonal].
 
-    A match earns 1, a word that is missing, put in or replaced costs 1/4; the text's ends are free.
+    A match earns 1, a word that is missing, put in or replaced costs 1/4; the text's ends are free. A row of the table is filled at once: words put
+    in are a running maximum along it.
     """
-    m, width = len(template), 2 * band + 1
-    score = np.zeros(width)
+    m, width, gap = len(template), 2 * band + 1, 0.25
     trace = np.zeros((m + 1, width), np.int8)
-    at = lambda i, b: i + diagonal + b - band  # noqa: E731  the text's word after i template words
+    slope, score = np.arange(width) * gap, np.zeros(width)
+    cell = np.arange(width) + diagonal - band  # plus i: words of the text before this cell
     best: tuple[float, int, int] = (0.0, 0, band)
     for i in range(1, m + 1):
-        new = np.full(width, -np.inf)
-        for b in range(width):
-            j = at(i, b)
-            if not 0 <= j <= len(text):
-                continue
-            equal = j > 0 and text[j - 1] == template[i - 1]
-            options = [
-                (0.0, 0),
-                (score[b] + (1.0 if equal else -0.25), 1 if equal else 2) if j > 0 else (-np.inf, 2),
-                (score[b + 1] - 0.25, 3) if b + 1 < width else (-np.inf, 3),  # a template word is missing
-                (new[b - 1] - 0.25, 4) if b else (-np.inf, 4),  # a word of the text is put in
-            ]
-            new[b], trace[i, b] = max(options, key=lambda x: (x[0], -x[1]))
-            if new[b] > best[0]:
-                best = (new[b], i, b)
-        score = new
+        at = cell + i
+        inside = (at >= 0) & (at <= len(text))
+        some = inside & (at > 0)
+        equal = np.zeros(width, bool)
+        equal[some] = text[at[some] - 1] == template[i - 1]
+        moved = np.where(some, score + np.where(equal, 1.0, -gap), -np.inf)
+        missing = np.append(score[1:] - gap, -np.inf)  # a template word is missing
+        new, kind = np.zeros(width), np.zeros(width, np.int8)
+        for value, name in ((moved, np.where(equal, 1, 2)), (missing, 3)):
+            more = value > new
+            new, kind = np.where(more, value, new), np.where(more, name, kind)
+        new = np.where(inside, new, -np.inf)
+        put_in = np.maximum.accumulate(new + slope) - slope
+        more = inside & (put_in > new + 1e-9)
+        new, kind = np.where(more, put_in, new), np.where(more, 4, kind)
+        trace[i], score = kind, new
+        top = int(new.argmax())
+        if new[top] > best[0] + 1e-9:
+            best = (float(new[top]), i, top)
     _, i, b = best
-    matched, end, start = 0, at(i, b), at(i, b)
+    matched, end, start = 0, cell[b] + i, cell[b] + i
     while i > 0 and trace[i, b] > 0:
         kind = trace[i, b]
         if kind == 1:
             matched += 1
-            start = at(i, b) - 1
+            start = cell[b] + i - 1
         if kind in (1, 2):
             i -= 1
         elif kind == 3:
             i, b = i - 1, b + 1
         else:
             b -= 1
-    return matched, start, end
+    return matched, int(start), int(end)
 
 
 def align_candidates(tokens: np.ndarray, hits: list[tuple[int, int, int]], index: TemplateIndex, least: float) -> list[tuple[int, float, int, int, int]]:
@@ -160,16 +205,17 @@ def align_candidates(tokens: np.ndarray, hits: list[tuple[int, int, int]], index
     taken: dict[int, list[tuple[int, int]]] = {}
     for t, i, j in sorted(hits, key=lambda x: (x[0], x[2], x[1])):
         own, spans = index.tokens[t], taken.setdefault(t, [])
+        band = band_of(own)
         while not any(a <= j < b for a, b in spans):
             # what accepted spans of the template leave around the hit
-            lo = max([0, j - i - BAND, *(b for a, b in spans if b <= j)])
-            hi = min([len(tokens), j - i + len(own) + BAND, *(a for a, b in spans if a > j)])
+            lo = max([0, j - i - band, *(b for a, b in spans if b <= j)])
+            hi = min([len(tokens), j - i + len(own) + band, *(a for a, b in spans if a > j)])
             if (t, j - i, lo, hi) in tried:
                 break
             tried.add((t, j - i, lo, hi))
             if np.isin(own, tokens[lo:hi]).sum() < least * len(own):
                 break
-            matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo)
+            matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo, band)
             if matched < least * len(own):
                 break
             spans.append((lo + start, lo + end))
@@ -183,7 +229,7 @@ def align_candidates(tokens: np.ndarray, hits: list[tuple[int, int, int]], index
 
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word, in code points."""
-    flat = np.frombuffer(text.translate(_FOLD), np.uint8)
+    flat = np.frombuffer(folded(text), np.uint8)
     edge = np.flatnonzero(np.diff((flat != 32).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     points = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
     return points[edge[::2]], points[edge[1::2]]
@@ -199,9 +245,9 @@ def scan_licenses(
     """A row for each place where a template is matched: id, license, coverage, matched, span_start, span_end.
 
     coverage is the share of the template's words that the alignment matches, least at least; the
-    span is in code points, end exclusive, from the first matched word to the last. Templates of
-    fewer words than GRAM are never found, nor are places without GRAM words in a row of a template that is too
-    short for winnowing (GRAM + WINNOW - 1 in a row of another). Places that meet are given once, for the template with
+    span is in code points, end exclusive, from the first matched word to the last. A place where words are replaced or
+    put in, and least of the template's words stay, always has a fingerprint of it in the index; where words are missing besides, long templates may
+    lack one. Templates without words are never found. Places that meet are given once, for the template with
     most matched words (ties: larger coverage, then the name). The index is of the templates, which
     the caller names, and goes to the tasks; texts stay where they are. A null or empty text has no
     rows, nor has a document without a match; rows that repeat give their rows each. Other
@@ -220,15 +266,16 @@ def scan_licenses(
                 parts = [words_of(whole[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
                 first = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
                 tokens = _digests([w for p in parts for w in p])
-                hashes = gram_hashes(tokens)
-                doc = np.searchsorted(first, np.arange(len(hashes)), side="right") - 1
-                picked = np.arange(len(hashes))  # the index is winnowed where it may be; the text is looked up whole
-                picked = picked[(picked + GRAM <= first[doc[picked] + 1])] if len(picked) else picked
-                low, high = np.searchsorted(own.keys, hashes[picked], "left"), np.searchsorted(own.keys, hashes[picked], "right")
                 by_doc: dict[int, list[tuple[int, int, int]]] = {}
-                for p, a, b in zip(picked[high > low], low[high > low], high[high > low], strict=True):
-                    k = int(doc[p])
-                    by_doc.setdefault(k, []).extend((int(own.template[x]), int(own.place[x]), int(p - first[k])) for x in range(a, b))
+                for width in own.widths:
+                    hashes = gram_hashes(tokens, width)  # the index is winnowed where it may be; the text is looked up whole
+                    low, high = np.searchsorted(own.keys, hashes, "left"), np.searchsorted(own.keys, hashes, "right")
+                    at = np.flatnonzero(high > low)
+                    doc = np.searchsorted(first, at, side="right") - 1
+                    inside = at + width <= first[doc + 1]
+                    for p, k in zip(at[inside], doc[inside].tolist(), strict=True):
+                        hits = by_doc.setdefault(k, [])
+                        hits.extend((int(own.template[x]), int(own.place[x]), int(p - first[k])) for x in range(low[p], high[p]))
                 for k, hits in by_doc.items():
                     text = whole[cuts[k] : cuts[k + 1]]
                     got = align_candidates(tokens[first[k] : first[k + 1]], hits, own, least)

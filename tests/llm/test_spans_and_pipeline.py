@@ -104,6 +104,69 @@ def test_licenses_that_recur_within_a_band(spark):
         assert sorted(by[i]) == [(x, x + (22 if i == 2 else len(mit) - 1)) for x in starts], (i, t)
 
 
+def test_licenses_with_any_fifth_replaced(spark):
+    """Every place that keeps 0.8 of a template's words is found, whichever words are replaced or put in."""
+    rng, rows, want = random.Random(35), [], {}
+    for name, template in TEMPLATES.items():
+        words = re.findall(r"[0-9A-Za-z]+", template)
+        spare = len(words) - -(-8 * len(words) // 10)
+        for k in range(12):
+            own = list(words)
+            for at in rng.sample(range(len(own)), spare):
+                own[at] = f"q{rng.randrange(1000)}" if k % 3 or at in (0, len(own) - 1) else own[at] + f" q{rng.randrange(1000)}"
+            i = len(rows)
+            rows.append((i, " ".join(["z"] * rng.randrange(30) + own + ["y"] * rng.randrange(30))))
+            want[i] = name
+    found = {(r["doc_id"], r["license"]) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kin = lambda n: re.split("[-/]", n)[0]  # noqa: E731  of places that meet the one that matches most is given: GPL-2.0 for GPL-3.0 without its 3
+    lost = [(i, n) for i, n in want.items() if not any(j == i and kin(n) == kin(m) for j, m in found)]
+    assert not lost
+
+
+def plain_alignment(template, text, diagonal, band):
+    """The same table, cell by cell: the best score and how many words its alignment matches at most."""
+    best, row = (0.0, 0), {b: (0.0, 0) for b in range(-band, band + 1)}
+    for i in range(1, len(template) + 1):
+        new = {}
+        for b in range(-band, band + 1):
+            j = i + diagonal + b
+            if not 0 <= j <= len(text):
+                continue
+            options = [(0.0, 0)]
+            if j > 0 and b in row:
+                hit = text[j - 1] == template[i - 1]
+                options.append((row[b][0] + (1.0 if hit else -0.25), row[b][1] + hit))
+            if b + 1 in row:
+                options.append((row[b + 1][0] - 0.25, row[b + 1][1]))
+            if b - 1 in new:
+                options.append((new[b - 1][0] - 0.25, new[b - 1][1]))
+            new[b] = max(options)
+            best = max(best, new[b])
+        row = new
+    return best
+
+
+def test_banded_alignment_against_a_plain_table():
+    rng = random.Random(36)
+    for _ in range(200):
+        template = np.array([rng.randrange(8) for _ in range(rng.randrange(1, 20))], np.uint64)
+        text = np.array([rng.randrange(8) for _ in range(rng.randrange(0, 40))], np.uint64)
+        diagonal, band = rng.randrange(-3, 10), rng.randrange(1, 6)
+        score, _ = plain_alignment(template, text, diagonal, band)
+        matched, start, end = banded_alignment(template, text, diagonal, band)
+        common = min(len(template), end - start)
+        assert matched <= common and matched >= score > matched - 0.25 * (len(template) + len(text)) - 1e-9
+        assert (matched > 0) == (score > 0)
+
+
+def test_licenses_of_curly_quotes_and_full_texts(spark):
+    text = TEMPLATES["MIT/full"].replace('"Software"', "“Software”").replace('"AS IS"', "«AS IS»").replace(", ", ", ")
+    got = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r["license"], r["coverage"], r["span_start"], r["span_end"]) for r in got] == [("MIT/full", 1.0, 0, len(text) - 1)]
+    assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string"), {}).count() == 0
+
+
 def test_banded_alignment_counts_matches():
     t = np.arange(1, 21).astype(np.uint64)
     assert banded_alignment(t, np.concatenate((t[:5], [99, 98], t[5:12], t[14:])).astype(np.uint64), 0) == (18, 0, 20)
