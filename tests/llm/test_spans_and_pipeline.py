@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillon.llm.licenses import BAND, TEMPLATES, banded_alignment, op5_licenses, scan_licenses
-from quillon.llm.pii import KINDS, candidates, find_pii, fit_spans, op10_pii, span_list
+from quillon.llm.pii import ALL_KINDS, KINDS, candidates, find_pii, fit_spans, op10_pii, planted_rows, span_list
 
 #: The base patterns as the contract gives them.
 PATTERNS = {
@@ -68,6 +68,36 @@ def test_trees_add_spelt_out_spans(spark):
     assert fit_spans(asked.limit(0)) is None
 
 
+def test_added_spans_of_planted_forms(spark, sf_dir):
+    """Learned on one table, measured on forms planted in texts of another."""
+    model = fit_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert max(model.thresholds) <= 1
+    other = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id >= 200 and doc_id < 320").select("text", F.lit(0.0).alias("_u"))
+    rows = planted_rows(other.select(F.col("text").alias("_text"), "_u")).collect()
+    asked = spark.createDataFrame([(i, r["_text"]) for i, r in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in find_pii(asked, model).collect()}
+    right = added = good = 0
+    for i, r in enumerate(rows):
+        near = [x for x in found[i] if not x["base"] and x["s"] < r["_e"] and r["_s"] < x["e"]]
+        hit = r["_good"] and any((x["k"], x["s"], x["e"]) == (r["_k"], r["_s"], r["_e"]) for x in near)
+        right, added, good = right + hit, added + len(near), good + r["_good"]
+        for x, y in zip(found[i], found[i][1:], strict=False):
+            assert x["k"] != y["k"] or x["e"] <= y["s"]
+    assert right >= 0.95 * added and right >= 0.9 * good, (right, added, good)
+
+
+def test_many_matches_of_a_text_stay_linear(spark):
+    import time
+
+    text, took = "12 a@b.c " * 40_000, []
+    model = fit_spans(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    for t in ("12 a@b.c ", text):
+        began = time.time()
+        got = find_pii(spark.createDataFrame([(1, t)], "doc_id long, text string"), model).first()["spans"]
+        took.append(time.time() - began)
+    assert len(got) == 40_000 and took[1] - took[0] < 20 and got[-1]["e"] == len(text) - 1 and len(ALL_KINDS) > len(KINDS)
+
+
 def test_licenses_of_documents(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {(r["doc_id"], r["license"], r["span_start"]): r for r in op5_licenses(spark, sf_dir).collect()}
