@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod, table
+from ._common import crc_mod, saved, table
 from .textbytes import text_runs
 
 #: Common English insults, from which the lexicon starts. Labels add terms and set weights.
@@ -21,18 +23,36 @@ SEED_TERMS = (
     "clown", "disgusting", "dumb", "filth", "fool", "garbage", "idiot", "imbecile", "jerk", "loser", "moron", "pathetic",
     "scum", "stupid", "trash", "vermin", "worthless",
 )
-#: Words before a term that announce a quotation or a mention of it.
-MENTIONS = (b"word", b"words", b"term", b"quote", b"quoted", b"quotes", b"slur", b"definition", b"means", b"called", b"wrote", b"said")
-QUOTED = 0.15
 BY_DISTANCE = (1.0, 0.9, 0.8)
-#: Bytes before a hit that are looked at for words of mention.
+#: Bytes before and after a hit, in its line, that are looked at for the words below.
 WINDOW = 64
+#: Nouns that announce a term, verbs of speech and words for who is spoken to, in English, German, French and Spanish.
+NOUNS = frozenset((
+    "word", "words", "term", "slur", "insult", "definition", "wort", "wörter", "begriff", "ausdruck", "schimpfwort", "mot", "mots", "terme", "insulte",
+    "palabra", "palabras", "término", "insulto",
+))
+SPEECH = frozenset((
+    "said", "says", "wrote", "called", "quote", "quoted", "shouted", "sagte", "schrieb", "nannte", "rief", "dit", "écrit", "écrivit", "appelé", "dijo",
+    "escribió", "llamó", "gritó",
+))
+PERSON = frozenset(("you", "your", "u", "ur", "du", "dich", "dir", "dein", "ihr", "tu", "toi", "te", "vous", "eres", "tú", "usted", "ustedes"))
+#: What the window's weights are learned from: a line with a term that is quoted or mentioned, or not.
+QUOTING = (
+    'she wrote "{}" in the report', "the word {} is rude", "the term {} means nothing", "a slur like “{}” is banned", '"you {}" was what he shouted',
+    "er schrieb „{}“ darunter", "das Wort {} gilt als grob", "der Begriff „{}“ fiel", "il a écrit « {} » hier", "le mot {} est grossier", "on lit « {} » au mur",
+    "la palabra {} es ofensiva", "escribió «{}» en la nota", "the insult '{}' was used", "they called it '{}'", "definition of {}", "the word “{}”", 'quoted: "{}"',
+)
+ABUSING = (
+    "you {}", "you are a {}", "I said you {}", "they called you an {}", "words fail me {}", "what a {} he is", "such {} people", "go away {}", "{} that you are",
+    "du bist ein {}", "ihr seid {}", "so ein {}", "tu es un {}", "quel {}", "vous êtes {}", "eres un {}", "qué {}", "he said that and he is a {}", "a word from you {}",
+    "they are {} all of them", "this {} wrote it", "shut up {}",
+)
 #: Constant and coefficients (strongest hit, log of the sum of hits) before labels are seen.
 PRIOR = (-4.0, 1.8, 0.8)
 
-_LETTERS = np.zeros(256, bool)
-_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_INNER = np.zeros(256, bool)
+_LETTERS = np.zeros(128, bool)
+_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_INNER = np.zeros(128, bool)
 _INNER[[ord(c) for c in "@$!*#_"]] = True  # stand in for a letter between two letters
 
 
@@ -43,9 +63,13 @@ def allowed_distance(term: str) -> int:
 
 @dataclass
 class Automaton:
-    """A table over bytes: step[state, byte] is the next state, 0 is dead, 1 the start; term and distance where a state accepts."""
+    """A table over letters: step[state, letter] is the next state, 0 is dead, 1 the start; term and distance where a state accepts.
+
+    Letters up to 127 are ASCII, then come the others of the terms, by extra; 0 stands for all that no term has.
+    """
 
     terms: list[str]
+    extra: dict[int, int]
     step: np.ndarray
     term: np.ndarray
     distance: np.ndarray
@@ -59,10 +83,12 @@ def build_automaton(terms: list[str]) -> Automaton:
     The node where a stem ends stays in the set whatever follows. Each term has its own bound of edits, by its length, so nodes carry the largest bound below them.
     """
     children, end, most, stems = [{}], [-1], [0], set()
+    extra = {c: 128 + i for i, c in enumerate(sorted({ord(ch) for term in terms for ch in term if ord(ch) > 127}))}
     for t, term in enumerate(terms):
         node, bound = 0, allowed_distance(term)
         most[0] = max(most[0], bound)
-        for ch in term.removesuffix("*").encode():
+        for ch in map(ord, term.removesuffix("*")):
+            ch = extra.get(ch, ch)
             if ch not in children[node]:
                 children[node][ch] = len(children)
                 children.append({})
@@ -101,40 +127,58 @@ def build_automaton(terms: list[str]) -> Automaton:
     number = {frozenset(): 0, (start := closed({0: 0})): 1}
     order, rows = [frozenset(), start], []
     for state in order:
-        row = np.zeros(256, np.int32)
+        row = np.zeros(128 + len(extra), np.int32)
         if state:
-            for ch in [0, *alphabet]:  # 0 stands for bytes of no term
+            for ch in [0, *alphabet]:  # 0 stands for letters of no term
                 nxt = after(state, ch)
                 if nxt not in number:
                     number[nxt] = len(order)
                     order.append(nxt)
                 row[ch if ch else slice(None)] = number[nxt]
-            for ch in range(97, 123):
-                row[ch - 32] = row[ch]
         rows.append(row)
     term, distance = np.full(len(order), -1, np.int32), np.zeros(len(order), np.int8)
     for s, state in enumerate(order):
         best = min(((e, end[n]) for n, e in state if end[n] >= 0 and e <= allowed_distance(terms[end[n]])), default=None)
         if best:
             distance[s], term[s] = best
-    return Automaton(terms, np.array(rows), term, distance, max((len(t.encode()) for t in terms), default=0) + 2 if not stems else 1 << 30)
+    return Automaton(terms, extra, np.array(rows), term, distance, max((len(t) for t in terms), default=0) + 2 if not stems else 1 << 30)
+
+
+def letters(data: np.ndarray, extra: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point of UTF-8 data: the automaton's letter in lower case, whether it is part of a word, and its first byte."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    if len(at) == len(data):
+        code = data.astype(np.int32)
+    else:
+        code = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.int32)
+        if len(code) != len(at):  # no valid UTF-8
+            code = data[at].astype(np.int32)
+    upper = (code >= 65) & (code <= 90)
+    out, word = np.where(upper, code + 32, code), _LETTERS[np.minimum(code, 127)]
+    inner = _INNER[np.minimum(code, 127)] & (code < 128)
+    wide = np.flatnonzero(code > 127)
+    if len(wide):
+        kinds, own = np.unique(code[wide], return_inverse=True)
+        low = [ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in map(chr, kinds.tolist())]
+        out[wide] = np.array([extra.get(c, c if c < 128 else 0) for c in low], np.int32)[own]
+        word[wide] = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in kinds.tolist()], bool)[own]
+    if inner.any():
+        mid = np.flatnonzero(inner[1:-1] & word[:-2] & word[2:]) + 1
+        word[mid] = True
+    return out, word, at
 
 
 def find_terms(data: np.ndarray, automaton: Automaton) -> tuple[np.ndarray, ...]:
     """(start, end, term, distance) of the tokens that the automaton accepts, by start."""
-    word = _LETTERS[data]
-    inner = _INNER[data]
-    if inner.any():
-        at = np.flatnonzero(inner[1:-1] & word[:-2] & word[2:]) + 1
-        word[at] = True
+    code, word, byte = letters(data, automaton.extra)
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     starts, stops = edge[::2], edge[1::2]
     short = stops - starts <= automaton.longest
     starts, stops = starts[short], stops[short]
-    state = np.ones(len(starts), np.int32)
+    state, width = np.ones(len(starts), np.int32), automaton.step.shape[1]
     flat, found, at = automaton.step.reshape(-1), [], starts
     while len(at):
-        state = flat[state * 256 + data[at]]
+        state = flat[state * width + code[at]]
         at = at + 1
         done = at == stops
         hit = done & (automaton.term[state] >= 0)
@@ -143,35 +187,46 @@ def find_terms(data: np.ndarray, automaton: Automaton) -> tuple[np.ndarray, ...]
         go = ~done & (state > 0)
         starts, stops, state, at = starts[go], stops[go], state[go], at[go]
     both = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
-    return tuple(both[:, np.argsort(both[0], kind="stable")])
-
+    both = both[:, np.argsort(both[0], kind="stable")]
+    byte = np.append(byte, len(data))
+    return byte[both[0]], byte[both[1]], both[2], both[3]
 
-_OPEN, _CLOSE = ("“".encode(), "«".encode()), ("”".encode(), "»".encode())
 
-
-_MARK = re.compile(b"|".join((b'"', *_OPEN, *_CLOSE)))
-_LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
+_PAIRS = {k.encode(): v.encode() for k, v in (("“", "”"), ("«", "»"), ("„", "“"), ("‘", "’"), ("‹", "›"))}
+_MARK = re.compile("|".join('"\'“”«»„‘’‹›').encode())
+_LETTER = re.compile(rb"[0-9A-Za-z]|[\xc3-\xdf]|\xe2(?![\x80\x81])|[\xe0\xe1\xe3-\xf4]")
 
 
 def quotations(text: bytes) -> tuple[list[int], list[int]]:
     """Starts and ends of the quotations of a text, of any length and over any lines; one within another is part of it.
 
     A straight quote opens after white space, a bracket, a colon or a comma. The next one closes it, unless that one opens by the same rule before a letter.
+    A single one also needs a letter after it to open and none after it to close, in the same line. “ closes what „ opened, else it opens; ” closes either.
     """
-    found, straight, inside = [], -1, ([], [])
+    found, straight, inside = [], {b'"': -1, b"'": -1}, {mark: [] for mark in _PAIRS}
+    low, high = "„".encode(), "“".encode()
     for m in _MARK.finditer(text):
         at, mark = m.start(), m.group()
-        if mark == b'"':
-            opens = text[max(at - 1, 0) : at].strip(b" \t\r\n([{:,") == b""
-            if straight >= 0 and not (opens and _LETTER.match(text, at + 1)):
-                found.append((straight, at))
-                straight = -1
+        if mark in straight:
+            single, since, letter = mark == b"'", straight[mark], _LETTER.match(text, at + 1)
+            opens = text[max(at - 1, 0) : at].strip(b" \t\r\n([{:,") == b"" and (not single or bool(letter))
+            if since >= 0 and single and b"\n" in text[since:at]:
+                since = -1
+            if since >= 0 and not (opens and letter) and not (single and letter):
+                found.append((since, at))
+                straight[mark] = -1
             elif opens:
-                straight = at
-        elif mark in _OPEN:
-            inside[_OPEN.index(mark)].append(at)
-        elif inside[kind := _CLOSE.index(mark)]:
-            found.append((inside[kind].pop(), at))
+                straight[mark] = at
+        elif mark == high and inside[low]:
+            found.append((inside[low].pop(), at))
+        elif mark in _PAIRS:
+            inside[mark].append(at)
+        else:
+            opener = next(o for o, c in _PAIRS.items() if c == mark)
+            if opener == high and inside[low] and inside[low][-1] > (inside[high] or [-1])[-1]:
+                opener = low
+            if inside[opener] and not (mark == "’".encode() and _LETTER.match(text, at + len(mark))):
+                found.append((inside[opener].pop(), at))
     starts, ends = [], []
     for a, b in sorted(found):
         if ends and a < ends[-1]:
@@ -182,21 +237,51 @@ def quotations(text: bytes) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def is_quoted(text: bytes, start: int, end: int, spans: tuple[list[int], list[int]] | None = None) -> bool:
-    """Whether the term at start is in a quotation of the text, or only mentioned, by WINDOW bytes of its line before it. spans: the text's quotations."""
-    starts, ends = quotations(text) if spans is None else spans
+def window_features(text: bytes, start: int, end: int, spans: tuple[list[int], list[int]]) -> np.ndarray:
+    """A constant; in a quotation; a noun that announces a term close before it; a verb of speech right before it; someone spoken to around it, outside a quotation."""
+    starts, ends = spans
     k = bisect_right(starts, start) - 1
-    if k >= 0 and end <= ends[k]:
-        return True
-    before = text[max(0, start - WINDOW) : start].rpartition(b"\n")[2]
-    return any(w in MENTIONS for w in re.findall(rb"[a-z]+", before.lower())[-3:])
+    quoted = k >= 0 and end <= ends[k]
+    before = text[max(0, start - WINDOW) : start].rpartition(b"\n")[2].decode("utf-8", "ignore").lower()
+    after = text[end : end + WINDOW].partition(b"\n")[0].decode("utf-8", "ignore").lower()
+    pre, post = re.findall(r"[^\W\d_]+", before), re.findall(r"[^\W\d_]+", after)
+    some = lambda words, own: any(w in own for w in words)
+    noun = some(pre[-1:], NOUNS) or (len(pre) > 1 and pre[-2] in NOUNS and pre[-1] not in PERSON and len(pre[-1]) < 4)
+    return np.array([1.0, quoted, noun, some(pre[-1:], SPEECH), not quoted and some(pre[-3:] + post[:3], PERSON)], float)
+
+
+@cache
+def fit_windows() -> tuple[float, ...]:
+    """Weights of window_features from the lines of QUOTING and ABUSING, by logistic regression."""
+    x, y = [], []
+    for lines, label in ((QUOTING, 1.0), (ABUSING, 0.0)):
+        for line in lines:
+            before = line.split("{}")[0].encode()
+            data = line.format("term").encode()
+            x.append(window_features(data, len(before), len(before) + 4, quotations(data)))
+            y.append(label)
+    w, x, y = np.zeros(5), np.array(x), np.array(y)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(5), x.T @ (y - p) - 0.1 * w)
+    return tuple(w)
+
+
+def quotation_chance(text: bytes, start: int, end: int, spans: tuple[list[int], list[int]] | None = None) -> float:
+    """How likely the term at start is quoted or mentioned rather than said. spans: the text's quotations."""
+    x = window_features(text, start, end, quotations(text) if spans is None else spans)
+    return 1 / (1 + math.exp(-float(x @ np.array(fit_windows()))))
+
+
+def is_quoted(text: bytes, start: int, end: int, spans: tuple[list[int], list[int]] | None = None) -> bool:
+    return quotation_chance(text, start, end, spans) > 0.5
 
 
 @dataclass
 class ToxicityModel:
     automaton: Automaton
     weights: np.ndarray
-    clean_forms: set[bytes] = field(default_factory=set)
+    clean_forms: set[str] = field(default_factory=set)
     coef: np.ndarray = field(default_factory=lambda: np.array(PRIOR))
 
 
@@ -208,17 +293,17 @@ def evidence(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) -> dic
     cuts = offsets + np.arange(n + 1)
     of, text, spans = -1, b"", ([], [])
     for start, end, term, distance in zip(*find_terms(gaps, model.automaton), strict=True):
-        if distance and gaps[start:end].tobytes().lower() in model.clean_forms:
+        if distance and gaps[start:end].tobytes().decode("utf-8", "replace").lower() in model.clean_forms:
             continue
         k = int(np.searchsorted(cuts, start, side="right")) - 1
         lo = int(cuts[k])
         if k != of:
             of, text = k, gaps[lo : int(cuts[k + 1])].tobytes()
             spans = quotations(text)
-        quoted = is_quoted(text, int(start) - lo, int(end) - lo, spans)
-        weight = model.weights[term] * BY_DISTANCE[distance] * (QUOTED if quoted else 1.0)
+        chance = quotation_chance(text, int(start) - lo, int(end) - lo, spans)
+        weight = model.weights[term] * BY_DISTANCE[distance] * (1.0 - chance)
         out["hits"][k] += 1
-        out["quoted"][k] += quoted
+        out["quoted"][k] += chance > 0.5
         out["total"][k] += weight
         out["top"][k] = max(out["top"][k], weight)
     return out
@@ -293,7 +378,7 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """A model from labelled documents. About train_docs of them, by a hash of the id, are learned from (all, if there are fewer).
 
-    Terms are the seeds and what labels add, max_terms at most: words, and stems for languages that inflect them. A term's weight is the smoothed log
+    Terms are the seeds and what labels add, max_terms at most: words of 3 to 24 letters (so none in scripts that put no spaces between words), and stems for languages that inflect them. A term's weight is the smoothed log
     odds of documents that have it. Misspelt forms that clean documents use are learned as words of their
     own. Two coefficients and a constant turn the evidence into a probability. Without
     labels the seeds and default coefficients are used.
@@ -303,11 +388,11 @@ def fit_toxicity(
     share = min(1.0, train_docs / max(known.count(), 1))
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     sample = known.filter(draw < share).groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    picked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(sample), "_id")
+    picked = saved(docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(sample), "_id"))
     words = picked.select("_id", "_toxic", F.explode(words_and_stems(F.coalesce("_text", F.lit("")))).alias("_word"))
     counts = words.groupBy("_word").agg(F.sum(F.col("_toxic").cast("int")).alias("_k"), F.count(F.lit(1)).alias("_m"))
-    strong = counts.filter((F.col("_k") >= support) & (F.col("_k") >= 0.5 * F.col("_m"))).orderBy(F.desc("_k"), "_word").limit(20 * max_terms)
-    found = words.join(F.broadcast(strong.select("_word")), "_word").select("_word", "_id", "_toxic").toPandas()
+    strong = counts.filter((F.col("_k") >= support) & (F.col("_k") >= PRECISION * F.col("_m")))
+    found = words.join(strong.select("_word"), "_word").select("_word", "_id", "_toxic").toPandas()
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("_toxic").cast("int")), F.lit(0)).alias("k")).first()
     bad = sample.filter("_toxic").select("_id").toPandas()["_id"]
     pairs = {w: set(g) for w, g in found.groupby("_word")["_id"]} if len(found) else {}
@@ -326,7 +411,7 @@ def fit_toxicity(
                 gaps, cuts = np.insert(data, offsets[1:], 10), offsets + np.arange(len(offsets))
                 for s, e, t, d in zip(*find_terms(gaps, shared.value.automaton), strict=True):
                     k = i + int(np.searchsorted(cuts, s, side="right")) - 1
-                    rows.append((0.0, gaps[s:e].tobytes().lower().decode("utf-8", "replace"), int(t), int(d), toxic[k], ids[k]))
+                    rows.append((0.0, gaps[s:e].tobytes().decode("utf-8", "replace").lower(), int(t), int(d), toxic[k], ids[k]))
             rows = list(dict.fromkeys(rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.float64(), pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.string()))],
@@ -339,7 +424,7 @@ def fit_toxicity(
         .toPandas()
     )
     near = seen[seen["distance"] > 0].groupby("form")[["k", "m"]].max()
-    model.clean_forms = {f.encode() for f in near.index[(near["k"] < 0.6 * near["m"])]}
+    model.clean_forms = set(near.index[(near["k"] < 0.6 * near["m"])])
     exact = seen[seen["distance"] == 0].groupby("term")[["k", "m"]].sum()
     model.weights = np.array([
         _logit((exact["k"].get(t, 0) + 2.85) / (exact["m"].get(t, 0) + 3.0)) for t in range(len(terms))

@@ -232,6 +232,25 @@ def test_quotation_windows():
         assert is_quoted(data, at, at + 5) is want, text
 
 
+def test_abuse_stays_abuse_and_mentions_are_told(spark):
+    for text, want in (
+        ("I said you idiot", False), ("they called you an idiot", False), ("words fail me idiot", False), ("er sagte du idiot", False), ("tu es un idiot", False),
+        ("eres un idiot", False), ("the word idiot is rude", True), ("das Wort idiot ist grob", True), ("le mot idiot est laid", True), ("la palabra idiot es fea", True),
+        ("er schrieb „idiot“ dazu", True), ("called it 'idiot' in print", True), ("it's an idiot's day", False), ("‘idiot’ was the word", True), ("‹idiot›", True),
+        ("dogs' idiot and cats' food", False), ("„so” idiot “und”", False),
+    ):
+        data = text.encode()
+        at = data.index(b"idiot")
+        assert is_quoted(data, at, at + 5) is want, text
+
+
+def test_edits_are_letters_and_case_is_folded():
+    auto = build_automaton(["größenwahn", "idiot", "дурак", "réê*"])
+    text = "GRÖSSENWAHN größenwähn GROßENWAHN idiöt ІДІОТ ДУРАК дурик „idiot“ RÉÊou idïöt".encode()
+    got = [(text[s:e].decode(), auto.terms[t], d) for s, e, t, d in zip(*find_terms(np.frombuffer(text, np.uint8), auto), strict=True)]
+    assert got == [("GRÖSSENWAHN", "größenwahn", 2), ("größenwähn", "größenwahn", 1), ("GROßENWAHN", "größenwahn", 1), ("idiöt", "idiot", 1), ("ДУРАК", "дурак", 0), ("дурик", "дурак", 1), ("idiot", "idiot", 0), ("RÉÊou", "réê*", 0)]
+
+
 def test_long_quotations_and_quotations_over_lines():
     fill = "plain words of a long text " * 8
     for text, want in (
