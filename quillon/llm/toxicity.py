@@ -57,8 +57,8 @@ _INNER[[ord(c) for c in "@$!*#_"]] = True  # stand in for a letter between two l
 
 
 def allowed_distance(term: str) -> int:
-    """Edits that a term bears, by its length. A stem ("term*": any word that begins so) bears none."""
-    return 0 if len(term) < 5 or term.endswith("*") else 1 if len(term) < 9 else 2
+    """Edits that a term bears: one for each five letters, two at most. A stem ("term*": any word that begins so) bears none."""
+    return 0 if term.endswith("*") else min(len(term) // 5, 2)
 
 
 @dataclass
