@@ -25,31 +25,38 @@ def common_length(masks: dict[str, int], full: int, window: str) -> int:
     return (full & ~row).bit_count()
 
 
-def partial_ratio(needle: str, hay: str) -> tuple[float, int, int]:
+def partial_ratio(needle: str, hay: str, floor: float = 0.0) -> tuple[float, int, int]:
     """(best similarity, start, end in hay): needle slides over hay, over both ends too; the first best window counts.
 
     The similarity of two strings is 2 * common subsequence / both lengths. If needle is the longer, hay slides over it and
-    the span is the whole hay. Of two strings of one length both are slid.
+    the span is the whole hay. Of two strings of one length both are slid. What is not over floor is given as floor or less. A window is compared
+    only if the letters it has in common with needle, in whatever order, could make it the best.
     """
     if not needle or not hay:
         return (1.0 if needle == hay else 0.0), 0, len(hay)
     if len(needle) > len(hay):
-        return partial_ratio(hay, needle)[0], 0, len(hay)
+        return partial_ratio(hay, needle, floor)[0], 0, len(hay)
     m, n = len(needle), len(hay)
-    full, masks = (1 << m) - 1, {}
-    for i, ch in enumerate(needle):
-        masks[ch] = masks.get(ch, 0) | 1 << i
     at = hay.find(needle)
     if at >= 0:
         return 1.0, at, at + m
-    windows = [(0, k) for k in range(1, m)] + [(k, k + m) for k in range(n - m + 1)] + [(k, n) for k in range(n - m + 1, n)]
-    best = (0.0, 0, m)
-    for a, b in windows:
-        if 2 * min(m, b - a) / (m + b - a) <= best[0]:
-            continue
-        score = 2 * common_length(masks, full, hay[a:b]) / (m + b - a)
-        if score > best[0]:
-            best = (score, a, b)
+    full, masks, left = (1 << m) - 1, {}, dict.fromkeys(hay, 0)
+    for i, ch in enumerate(needle):
+        masks[ch] = masks.get(ch, 0) | 1 << i
+        left[ch] = left.get(ch, 0) + 1
+    best, shared = (floor, 0, m), 0
+    for end in range(1, n + m):
+        a, b = max(end - m, 0), min(end, n)
+        if end <= n:  # a letter comes in at the right
+            shared += left[hay[b - 1]] > 0
+            left[hay[b - 1]] -= 1
+        if end > m:  # one goes out at the left
+            left[hay[a - 1]] += 1
+            shared -= left[hay[a - 1]] > 0
+        if 2 * shared > best[0] * (m + b - a):
+            score = 2 * common_length(masks, full, hay[a:b]) / (m + b - a)
+            if score > best[0]:
+                best = (score, a, b)
     if m == n:
         other = partial_ratio_of_equal(hay, needle)
         best = (other, 0, n) if other > best[0] else best
@@ -78,19 +85,18 @@ def word_span(needle: str, hay: str) -> tuple[int, int]:
 
 
 def find_callsign(text: str, spoken: list[list[str]], tails: list[str], canonical: list[str], whole_words: bool) -> tuple:
-    best: tuple[float, int, str] = (0.0, -1, "")
+    best: tuple[float, int, str, int, int] = (0.0, -1, "", 0, 0)
     for k, forms in enumerate(spoken):
         for form in forms:
-            score = partial_ratio(form, text)[0]
+            score, a, b = partial_ratio(form, text, best[0])
             if score > best[0]:
-                best = (score, k, form)
-    score, k, form = best
+                best = (score, k, form, a, b)
+    score, k, form, a, b = best
     if k < 0:
         return None, 0.0, False, text, False
     matched = score >= MATCH
     if not matched or score >= SNAP_BELOW or not canonical[k]:
         return tails[k], score, matched, text, False
-    _, a, b = partial_ratio(form, text)
     if whole_words:
         a, b = word_span(form, text)
     return tails[k], score, matched, " ".join((text[:a] + canonical[k] + text[b:]).split()), True

@@ -13,11 +13,10 @@ from ..functions.text import canonical_callsigns, normalize, similarity
 from ..functions.voting import rover
 from ..operators.ensemble import agreement_score, classify_tier, clique_size, confidence_score, is_non_speech, pair_similarities
 from ..operators.tables import join_voters
+from ..schemas import HYPS
 from ..session import saved
 from ..sources.catalog import ModelSpec, check_weights, factory_of
 
-_HYP = "utterance_id string, text string, confidence double, no_speech double, nbest array<struct<text:string,score:double>>"
-
 
 def transcribe(clips: DataFrame, spec: ModelSpec, batch: int = 32) -> DataFrame:
     """utterance_id, text, confidence, no_speech, nbest, shard, model for each clip.
@@ -40,7 +39,7 @@ def transcribe(clips: DataFrame, spec: ModelSpec, batch: int = 32) -> DataFrame:
                 })
 
     ordered = clips.sortWithinPartitions("shard", F.size("audio.samples"))
-    return ordered.mapInPandas(run, f"{_HYP}, shard int").withColumn("model", F.lit(spec.name))
+    return ordered.mapInPandas(run, f"{HYPS}, shard int").withColumn("model", F.lit(spec.name))
 
 
 def fuse(meta: DataFrame, hyps: DataFrame, voters: list[str], weights: list[float] | None = None, advisory: str | None = None, airlines: dict[str, str] | None = None, keys: tuple[str, ...] = ("shard", "utterance_id")) -> DataFrame:

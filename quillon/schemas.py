@@ -8,7 +8,7 @@ SOURCE = (
     "start timestamp_ntz, end timestamp_ntz, duration_s double, n_aircraft int, clip_offset_s double"
 )
 META = "utterance_id string, airport string, tails array<string>"
-HYPS = "utterance_id string, text string, confidence double, no_speech double, nbest array<array<string>>"
+HYPS = "utterance_id string, text string, confidence double, no_speech double, nbest array<struct<text:string,score:double>>"
 LABELS = (
     "utterance_id string, transcript string, tier string, confidence double, rover_confidence double, agreement_score double, "
     "n_models_agree long, n_tails long, callsign_matched boolean, callsign_tail string, callsign_score double, snapped boolean, "

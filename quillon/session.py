@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SETTINGS = {
@@ -25,11 +24,10 @@ def build_session(name: str = "quillon", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where none is set (tests)."""
+    """The folder in spark.checkpoint.dir, which the driver and all executors must share."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at is None:
-        at = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(at)
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return at
 
 
@@ -48,6 +46,6 @@ def numbered(df: DataFrame, *order, name: str = "position") -> DataFrame:
     part, nth = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     placed = saved(df.sort(*order).withColumn("_at", F.monotonically_increasing_id()))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left")
-    offsets = earlier.groupBy(F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_offset"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return placed.join(F.broadcast(offsets), part == F.col("_part")).withColumn(name, F.col("_offset") + nth + 1).drop("_part", "_offset", "_at")
