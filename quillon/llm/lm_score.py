@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,9 @@ MAX_FILTER_BYTES = 256 << 20
 #: Types with over this share of the training tokens are looked up in a broadcast table: 1 / HEAD_SHARE types at most.
 HEAD_SHARE = 1e-6
 #: Bytes of text that are counted, and scored, at once; n-grams that are probed at once.
-COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 4 << 20, 2 << 20, 1 << 16
+COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 4 << 20, 4 << 20, 1 << 16
+#: Bytes of tokens' levels that are looked at at once.
+LEVEL_BYTES = 1 << 20
 #: Bytes of text for each segment of the table of counts.
 SEGMENT_BYTES = 4 << 20
 MIXES = np.array([0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98])
@@ -113,13 +115,16 @@ class CountFilter:
     head_counts: np.ndarray
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """By n-gram: the count of the highest level below which every probe of every level is set."""
+        return level_counts()[self.levels(hashes)]
+
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """By n-gram: the highest level up to which every probe of every level is set."""
         if isinstance(self.bits, str):
-            self.bits = np.memmap(SparkFiles.get(self.bits), np.uint8, "r")
-        parts = [self._counts(hashes[at : at + PROBE_ROWS]) for at in range(0, len(hashes), PROBE_ROWS)]
-        return np.concatenate(parts) if parts else np.zeros(0)
+            self.bits = np.asarray(np.memmap(SparkFiles.get(self.bits), np.uint8, "r"))
+        parts = [self._levels(hashes[at : at + PROBE_ROWS]) for at in range(0, len(hashes), PROBE_ROWS)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
 
-    def _counts(self, hashes: np.ndarray) -> np.ndarray:
+    def _levels(self, hashes: np.ndarray) -> np.ndarray:
         seg = segment_of(hashes, len(self.sizes))
         level, open_ = np.zeros(len(hashes), np.int64), np.flatnonzero(self.sizes[seg] > 0)
         for at in range(1, LEVELS + 1):
@@ -131,7 +136,7 @@ class CountFilter:
             there = ((self.bits[byte] >> (place & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
             open_ = open_[there]
             level[open_] = at
-        return level_counts()[level]
+        return level.astype(np.uint8)
 
 
 def _partial_counts(segments: int):
@@ -245,14 +250,25 @@ def build_filter(train: DataFrame, segments: int, text_col: str = "text") -> tup
     return exact.select("seg", "hashes", "counts"), made
 
 
-def gram_counts(tokens: np.ndarray, grams: CountFilter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By token: the filter's counts of the token, of the one before and of both. A run's n-grams are probed once each."""
+def gram_levels(tokens: np.ndarray, grams: CountFilter) -> np.ndarray:
+    """By token: the filter's levels of the token, and of it with the one before. A run's n-grams are probed once each."""
     types, at = np.unique(tokens, return_inverse=True)
-    one = grams.counts(types)
-    own = one[at]
-    first = np.concatenate((grams.counts(np.array([END])), own[:-1])) if len(own) else own
+    own = grams.levels(types)[at]
     pairs, at = np.unique(pair_hash(before(tokens), tokens), return_inverse=True)
-    both = np.minimum(grams.counts(pairs)[at], own)  # a pair is never more frequent than its words
+    return np.stack((own, grams.levels(pairs)[at]), axis=1)
+
+
+def by_text(levels: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The levels of each text's tokens, two bytes a token."""
+    offsets = np.concatenate(([0], 2 * np.cumsum(counts))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(levels))])
+
+
+def gram_counts(levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By token of whole texts: the counts of the token, of the one before and of both. levels has two bytes a token."""
+    own, pair = level_counts()[levels.reshape(-1, 2)].T
+    first = np.concatenate((own[-1:], own[:-1]))  # each text ends with END, which also stands before the next
+    both = np.minimum(pair, own)  # a pair is never more frequent than its words
     return own, np.maximum(first, both), both
 
 
@@ -272,47 +288,44 @@ def _gains(own: np.ndarray, first: np.ndarray, both: np.ndarray, grams: CountFil
     return np.stack([np.bincount(level, np.log(m * pair + (1 - m) * single), LEVELS + 1) for m in MIXES], axis=1)
 
 
-def _gain_columns(gain: np.ndarray) -> dict[str, pa.Array]:
-    at = [np.repeat(np.arange(LEVELS + 1), len(MIXES)), np.tile(np.arange(len(MIXES)), LEVELS + 1)]
-    return {"level": pa.array(at[0]), "mix": pa.array(at[1]), "gain": pa.array(gain.reshape(-1))}
-
+def fit_mix(levels: DataFrame, grams: CountFilter) -> np.ndarray:
+    """levels: a column of the levels of all training documents' tokens. By level, the weight that suits them best, each token left out of its own counts.
 
-def fit_mix(train: DataFrame, shared, text_col: str = "text", exact: DataFrame | None = None, segments: int = 0) -> np.ndarray:
-    """shared: the broadcast filter. By level, the weight that suits all training documents best, each token left out of its own counts.
-
-    What comes back from a task is a number for each level and weight. With exact, the filter is in its segments and the documents' n-grams are sent there.
+    What comes back from a task is a number for each level and weight.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = np.zeros((LEVELS + 1, len(MIXES)))
         for batch in batches:
-            for _, _, data, offsets in text_runs(batch.column(0), SCORE_BYTES):
-                tokens, _ = token_hashes(data, offsets)
-                gain += _gains(*gram_counts(tokens, shared.value), shared.value)
-        yield pa.RecordBatch.from_pydict(_gain_columns(gain))
+            for _, _, data, _ in text_runs(batch.column(0), LEVEL_BYTES):
+                if len(data):
+                    gain += _gains(*gram_counts(data), grams)
+        at = [np.repeat(np.arange(LEVELS + 1), len(MIXES)), np.tile(np.arange(len(MIXES)), LEVELS + 1)]
+        yield pa.RecordBatch.from_pydict({"level": pa.array(at[0]), "mix": pa.array(at[1]), "gain": pa.array(gain.reshape(-1))})
 
-    def of_run(key: tuple, rows: pa.Table) -> pa.Table:
-        _, _, *counts = _run_counts(rows)
-        return pa.table(_gain_columns(_gains(*counts, shared.value)))
-
-    schema = "level long, mix long, gain double"
-    picked = train.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    if exact is None:
-        gains = picked.mapInArrow(run, schema)
-    else:
-        asked = picked.select(F.col(picked.columns[0]), F.lit(0), F.lit(False)).mapInArrow(_ask_segments(segments), _ASK_GRAMS)
-        gains = _told(asked, exact).groupBy("run").applyInArrow(of_run, schema)
-    got = gains.groupBy("level", "mix").agg(F.sum("gain").alias("gain")).toPandas()
+    got = levels.mapInArrow(run, "level long, mix long, gain double").groupBy("level", "mix").agg(F.sum("gain").alias("gain")).toPandas()
     gain = np.zeros((LEVELS + 1, len(MIXES)))
     gain[got["level"], got["mix"]] = got["gain"]
     return MIXES[gain.argmax(axis=1)]
 
 
+def _scores(grams: CountFilter, mix: np.ndarray):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for levels in batches:
+            parts = [np.zeros(0)]
+            for i, j, data, offsets in text_runs(levels, LEVEL_BYTES):
+                doc = np.repeat(np.arange(j - i), np.diff(offsets) // 2)
+                parts.append(np.bincount(doc, np.log10(chance(*gram_counts(data), grams, mix)), j - i))
+            yield pa.array(np.concatenate(parts))
+
+    return F.arrow_udf(run, "double")
+
+
 _ASK = "run string, seg int, hashes binary, docs binary, meta binary"
 _ASK_TYPES = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
 
-def _score_runs(grams, mix: np.ndarray, segments: int):
+def _score_runs(grams, segments: int):
     """A row for each run of texts with what is known of each, and rows that ask segments for exact counts of rarer tokens."""
     from pyspark import TaskContext
 
@@ -324,14 +337,14 @@ def _score_runs(grams, mix: np.ndarray, segments: int):
                 name, nth = f"{part}-{nth}", nth + 1
                 tokens, counts = token_hashes(data, offsets)
                 doc = np.repeat(np.arange(j - i, dtype=np.uint32), counts)
-                score = np.bincount(doc, np.log10(chance(*gram_counts(tokens, model), model, mix)), j - i)
+                levels = by_text(gram_levels(tokens, model), counts)
                 at = np.minimum(np.searchsorted(model.head, tokens), max(len(model.head) - 1, 0))
                 known = model.head[at] == tokens if len(model.head) else np.zeros(len(tokens), bool)
                 base = np.bincount(doc[known], np.log10(model.head_counts[at[known]] + 0.5), j - i) if known.any() else np.zeros(j - i)
                 ids = batch.column(1).slice(i, j - i)
                 meta = pa.RecordBatch.from_arrays(
-                    [ids, batch.column(2).slice(i, j - i), pa.array(counts), pa.array(np.bincount(doc[known], minlength=j - i)), pa.array(base), pa.array(score)],
-                    names=["id", "held", "n", "known", "base", "score"],
+                    [ids, batch.column(2).slice(i, j - i), pa.array(counts), pa.array(np.bincount(doc[known], minlength=j - i)), pa.array(base), levels],
+                    names=["id", "held", "n", "known", "base", "levels"],
                 )
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, meta.schema) as out:
@@ -373,7 +386,7 @@ def _put_together(key: tuple, rows: pa.Table) -> pa.Table:
             at = np.frombuffer(d, np.uint32)
             known[at] += np.frombuffer(k, np.uint32)
             base[at] += np.frombuffer(b, np.float64)
-    return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(base), "score": meta["score"]})
+    return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(base), "levels": meta["levels"]})
 
 
 _ASK_GRAMS = "run string, seg int, kind int, hashes binary, places binary, meta binary, tokens binary"
@@ -419,14 +432,14 @@ def _answer_grams(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
             rows.append((name, 0, None, None, None, meta, tokens))
             continue
         h, exact = np.frombuffer(h, np.uint64), None
-        counts = made.counts(h) if made else np.zeros(len(h))
+        levels = made.levels(h) if made else np.zeros(len(h), np.uint8)
         if kind == 1:
             exact = np.zeros(len(h), np.int64)
             if made and len(keys):
                 at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 exact = np.where(keys[at] == h, n[at], 0)
             exact = exact.tobytes()
-        rows.append((name, kind, places_, level_of(counts).astype(np.uint8).tobytes(), exact, None, None))
+        rows.append((name, kind, places_, levels.tobytes(), exact, None, None))
     return pa.table({f.split()[0]: pa.array([r[k] for r in rows], t) for k, (f, t) in enumerate(zip(_TELL_GRAMS.split(", "), _TELL_GRAMS_TYPES, strict=True))})
 
 
@@ -435,7 +448,7 @@ def _told(asked: DataFrame, exact: DataFrame) -> DataFrame:
 
 
 def _run_counts(rows: pa.Table) -> tuple:
-    """(what is known of the run's texts, exact counts by token, and by token what gram_counts gives) from the answers of segments."""
+    """(what is known of the run's texts, exact counts by token, and what gram_levels gives) from the answers of segments."""
     found = list(zip(*(rows[c].to_pylist() for c in ("kind", "places", "counts", "exact", "meta", "tokens")), strict=True))
     meta, at = next((m, np.frombuffer(t, np.uint32).reshape(2, -1)) for k, *_, m, t in found if k == 0)
     level, exact = [np.zeros(int(x.max()) + 1, np.uint8) for x in at], np.zeros(int(at[0].max()) + 1, np.int64)
@@ -445,22 +458,16 @@ def _run_counts(rows: pa.Table) -> tuple:
             level[kind - 1][own] = np.frombuffer(counts, np.uint8)
             if kind == 1:
                 exact[own] = np.frombuffer(n, np.int64)
-    own, pair = (level_counts()[x][k] for x, k in zip(level, at, strict=True))
-    first = np.concatenate((own[-1:], own[:-1]))  # each text ends with END
-    both = np.minimum(pair, own)
-    return pa.ipc.open_stream(meta).read_all().combine_chunks(), exact[at[0]], own, np.maximum(first, both), both
-
+    levels = np.stack([x[k] for x, k in zip(level, at, strict=True)], axis=1)
+    return pa.ipc.open_stream(meta).read_all().combine_chunks(), exact[at[0]], levels
 
-def _score_told(grams: CountFilter, mix: np.ndarray):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        meta, exact, *counts = _run_counts(rows)
-        n = meta["n"].to_numpy()
-        doc = np.repeat(np.arange(len(n)), n)
-        sums = [np.bincount(doc, x, len(n)) for x in (np.log10(exact + 0.5), np.log10(chance(*counts, grams, mix)))]
-        known = np.bincount(doc, exact > 0, len(n)).astype(np.int64)
-        return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(sums[0]), "score": pa.array(sums[1])})
 
-    return run
+def _put_told(key: tuple, rows: pa.Table) -> pa.Table:
+    meta, exact, levels = _run_counts(rows)
+    n = meta["n"].to_numpy()
+    doc = np.repeat(np.arange(len(n)), n)
+    known, base = np.bincount(doc, exact > 0, len(n)).astype(np.int64), np.bincount(doc, np.log10(exact + 0.5), len(n))
+    return pa.table({"id": meta["id"], "held": meta["held"], "n": meta["n"], "known": pa.array(known), "base": pa.array(base), "levels": by_text(levels, n)})
 
 
 def score_documents(
@@ -491,20 +498,22 @@ def score_documents(
     exact, grams = build_filter(learned, segments, "_text")
     shared = docs.sparkSession.sparkContext.broadcast(grams)
     kind = rows.schema["_id"].dataType.simpleString()
-    scored = f"id {kind}, held boolean, n long, known long, base double, score double"
+    scored = f"id {kind}, held boolean, n long, known long, base double, levels binary"
     if len(grams.sizes):
-        mix = fit_mix(learned, shared, "_text")
-        asked = rows.mapInArrow(_score_runs(shared, mix, segments), _ASK)
+        asked = rows.mapInArrow(_score_runs(shared, segments), _ASK)
         told = asked.groupBy("seg").cogroup(exact.groupBy("seg")).applyInArrow(_answer, _TELL)
         whole = told.groupBy("run").applyInArrow(_put_together, scored)
     else:
-        mix = fit_mix(learned, shared, "_text", exact, segments)
         asked = rows.mapInArrow(_ask_segments(segments), _ASK_GRAMS)
-        whole = _told(asked, exact).groupBy("run").applyInArrow(_score_told(grams, mix), scored)
+        whole = _told(asked, exact).groupBy("run").applyInArrow(_put_told, scored)
+    whole = saved(whole)  # the n-grams are probed once; the levels fit the mixture and give the scores
+    totals = replace(grams, bits=np.zeros(0, np.uint8), head=grams.head[:0], head_counts=grams.head_counts[:0])
+    mix = fit_mix(whole.filter("not held").select("levels"), totals)
     norm = float(np.log10(grams.tokens + 0.5 * (grams.types + 1)))
     return whole.select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
-        F.lit(grams.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n") * norm).alias("base_score"), "score",
+        F.lit(grams.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n") * norm).alias("base_score"),
+        _scores(totals, mix)("levels").alias("score"),
     )
 
 

@@ -52,7 +52,26 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-_PRINT = "struct<set:long,keys:array<long>,hashes:binary>"
+def short_set(hashes: np.ndarray) -> bytes:
+    """The set in 32 bits a shingle, sorted: what is sent to be compared."""
+    return np.unique((hashes >> np.uint64(32)).astype("<u4")).tobytes()
+
+
+_PRINT = "struct<set:long,keys:array<long>>"
+
+
+def _set_name(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            sets = [shingle_set(t, width) for t in each_text(texts)]
+            cols = [pa.array([_set_name(s) for s in sets], pa.uint64()).cast(pa.int64(), safe=False), pa.array([short_set(s) for s in sets], pa.binary())]
+            yield pa.StructArray.from_arrays(cols, names=["set", "hashes"])
+
+    return F.arrow_udf(run, "struct<set:long,hashes:binary>")
 
 
 def _prints(width: int):
@@ -60,10 +79,9 @@ def _prints(width: int):
         for texts in batches:
             sets = [shingle_set(t, width) for t in each_text(texts)]
             cols = [
-                pa.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], pa.uint64()).cast(pa.int64(), safe=False),
-                pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([_set_name(s) for s in sets], pa.uint64()).cast(pa.int64(), safe=False), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
             ]
-            yield pa.StructArray.from_arrays(cols, names=["set", "keys", "hashes"])
+            yield pa.StructArray.from_arrays(cols, names=["set", "keys"])
 
     return F.arrow_udf(run, _PRINT)
 
@@ -71,7 +89,7 @@ def _prints(width: int):
 def jaccard(one: pa.Array, two: pa.Array) -> pa.Array:
     out = []
     for a, b in zip(one, two, strict=True):
-        x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+        x, y = np.frombuffer(a.as_buffer(), "<u4"), np.frombuffer(b.as_buffer(), "<u4")
         both = len(np.intersect1d(x, y, assume_unique=True))
         out.append(both / max(len(x) + len(y) - both, 1))
     return pa.array(out, pa.float64())
@@ -128,7 +146,7 @@ def _open_links(least: float):
         def found(held: list[tuple]) -> list[tuple[int, int]]:
             if len({r[1] for r in held}) < 2:
                 return []
-            got = bucket_links([np.frombuffer(h, np.uint64) for _, _, h in held], np.array([r[1] for r in held]), least)
+            got = bucket_links([np.frombuffer(h, "<u4") for _, _, h in held], np.array([r[1] for r in held]), least)
             return [(held[i][0], held[j][0]) for i, j in got]
 
         now, held = None, []
@@ -152,7 +170,7 @@ def shingle_duplicates(
     """One row per document: id, component_id, the smallest id that links reach, the document's own included.
 
     Documents link when least of their distinct shingles of width words are common to both (Jaccard), which is
-    checked on the whole sets. Texts with one set fold into one row before candidates are made. Candidates
+    checked on the whole sets (hashes of 32 bits). Texts with one set fold into one row before candidates are made. Candidates
     share a band. They are checked against one member of the bucket first. In a bucket of which that leaves several groups, members of
     different groups are then checked with each other in the task that holds their sets, so that pairs are no rows; a bucket of over block
     bytes is cut into blocks by a hash, and each pair of its blocks is a bucket of its own. A null or blank text has the empty set. A null id
@@ -160,12 +178,13 @@ def shingle_duplicates(
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("_id"), _prints(width)(text).alias("_p"))
-    prints = saved(rows.select("_id", F.col("_p.set").alias("_set"), F.col("_p.keys").alias("_keys"), F.col("_p.hashes").alias("_hashes")))
+    prints = saved(rows.select("_id", F.col("_p.set").alias("_set"), F.col("_p.keys").alias("_keys")))
     distinct = saved(prints.groupBy("_set").agg(F.min("_id").alias("_first"), F.first("_keys").alias("_keys")))
     keyed = distinct.select("_set", F.explode("_keys").alias("_key"))
     shared = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min_by("_set", F.xxhash64("_set")).alias("_lead")).filter("_n > 1")
     keyed = saved(keyed.join(shared, "_key").select("_key", "_set", "_n", "_lead"))
-    sets = saved(prints.join(keyed.select("_set").distinct(), "_set", "left_semi").select("_set", "_hashes").dropDuplicates(["_set"]))
+    every = docs.select(_sets(width)(text).alias("_s")).select(F.col("_s.set").alias("_set"), F.col("_s.hashes").alias("_hashes"))
+    sets = saved(every.join(keyed.select("_set").distinct(), "_set", "left_semi").dropDuplicates(["_set"]))
 
     pairs = keyed.filter("_set != _lead").select(F.greatest("_set", "_lead").alias("_u"), F.least("_set", "_lead").alias("_v")).distinct()
     one, two = (sets.select(F.col("_set").alias(n), F.col("_hashes").alias(f"{n}h")) for n in ("_u", "_v"))
