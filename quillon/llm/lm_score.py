@@ -26,6 +26,7 @@ MAX_FILTER_BYTES = 256 << 20
 HEAD_SHARE = 1e-6
 #: Bytes of text that are counted, and scored, at once; n-grams that are probed at once.
 COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 4 << 20, 4 << 20, 1 << 16
+PACKED = pa.ipc.IpcWriteOptions(compression="zstd")
 #: Bytes of tokens' levels that are looked at at once.
 LEVEL_BYTES = 1 << 20
 #: Bytes of text for each segment of the table of counts.
@@ -347,7 +348,7 @@ def _score_runs(grams, segments: int):
                     names=["id", "held", "n", "known", "base", "levels"],
                 )
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, meta.schema) as out:
+                with pa.ipc.new_stream(sink, meta.schema, options=PACKED) as out:
                     out.write_batch(meta)
                 rows = [(name, (part * 31 + nth) % segments, None, None, sink.getvalue().to_pybytes())]
                 rest = ~known
@@ -409,7 +410,7 @@ def _ask_segments(segments: int):
                 pairs, two = np.unique(pair_hash(before(tokens), tokens), return_inverse=True)
                 meta = pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n)], names=["id", "held", "n"])
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, meta.schema) as out:
+                with pa.ipc.new_stream(sink, meta.schema, options=PACKED) as out:
                     out.write_batch(meta)
                 rows = [(name, (part * 31 + nth) % segments, 0, None, None, sink.getvalue().to_pybytes(), np.stack((one, two)).astype(np.uint32).tobytes())]
                 for kind, own in ((1, types), (2, pairs)):
@@ -506,7 +507,7 @@ def score_documents(
     else:
         asked = rows.mapInArrow(_ask_segments(segments), _ASK_GRAMS)
         whole = _told(asked, exact).groupBy("run").applyInArrow(_put_told, scored)
-    whole = saved(whole)  # the n-grams are probed once; the levels fit the mixture and give the scores
+    whole = saved(whole, "zstd")  # the n-grams are probed once; the levels fit the mixture and give the scores
     totals = replace(grams, bits=np.zeros(0, np.uint8), head=grams.head[:0], head_counts=grams.head_counts[:0])
     mix = fit_mix(whole.filter("not held").select("levels"), totals)
     norm = float(np.log10(grams.tokens + 0.5 * (grams.types + 1)))

@@ -47,6 +47,8 @@ ABUSING = (
     "du bist ein {}", "ihr seid {}", "so ein {}", "tu es un {}", "quel {}", "vous êtes {}", "eres un {}", "qué {}", "he said that and he is a {}", "a word from you {}",
     "they are {} all of them", "this {} wrote it", "shut up {}",
 )
+#: Bytes of text that are looked at at once.
+RUN_BYTES = 1 << 19
 #: Constant and coefficients (strongest hit, log of the sum of hits) before labels are seen.
 PRIOR = (-4.0, 1.8, 0.8)
 
@@ -318,7 +320,7 @@ def _evidence_column(docs: DataFrame, model: ToxicityModel, text: Column) -> Col
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = [evidence(data, offsets, shared.value) for _, _, data, offsets in text_runs(texts)]
+            parts = [evidence(data, offsets, shared.value) for _, _, data, offsets in text_runs(texts, RUN_BYTES)]
             cols = [pa.array(np.concatenate([p[f.name] for p in parts]) if parts else [], f.type) for f in _FIELDS]
             yield pa.StructArray.from_arrays(cols, fields=list(_FIELDS))
 
@@ -392,7 +394,7 @@ def fit_toxicity(
     words = picked.select("_id", "_toxic", F.explode(words_and_stems(F.coalesce("_text", F.lit("")))).alias("_word"))
     counts = words.groupBy("_word").agg(F.sum(F.col("_toxic").cast("int")).alias("_k"), F.count(F.lit(1)).alias("_m"))
     strong = counts.filter((F.col("_k") >= support) & (F.col("_k") >= PRECISION * F.col("_m")))
-    found = words.join(strong.select("_word"), "_word").select("_word", "_id", "_toxic").toPandas()
+    found = words.join(F.broadcast(strong.select("_word")), "_word").select("_word", "_id", "_toxic").toPandas()
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("_toxic").cast("int")), F.lit(0)).alias("k")).first()
     bad = sample.filter("_toxic").select("_id").toPandas()["_id"]
     pairs = {w: set(g) for w, g in found.groupby("_word")["_id"]} if len(found) else {}
@@ -407,7 +409,7 @@ def fit_toxicity(
         for batch in batches:
             ids, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[tuple] = []
-            for i, _, data, offsets in text_runs(batch.column(2)):
+            for i, _, data, offsets in text_runs(batch.column(2), RUN_BYTES):
                 gaps, cuts = np.insert(data, offsets[1:], 10), offsets + np.arange(len(offsets))
                 for s, e, t, d in zip(*find_terms(gaps, shared.value.automaton), strict=True):
                     k = i + int(np.searchsorted(cuts, s, side="right")) - 1
