@@ -26,7 +26,6 @@ MAX_FILTER_BYTES = 256 << 20
 HEAD_SHARE = 1e-6
 #: Bytes of text that are counted, and scored, at once; n-grams that are probed at once.
 COUNT_BYTES, SCORE_BYTES, PROBE_ROWS = 4 << 20, 4 << 20, 1 << 16
-PACKED = pa.ipc.IpcWriteOptions(compression="zstd")
 #: Bytes of tokens' levels that are looked at at once.
 LEVEL_BYTES = 1 << 20
 #: Bytes of text for each segment of the table of counts.
@@ -322,6 +321,13 @@ def _scores(grams: CountFilter, mix: np.ndarray):
     return F.arrow_udf(run, "double")
 
 
+def packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 _ASK = "run string, seg int, hashes binary, docs binary, meta binary"
 _ASK_TYPES = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
@@ -347,10 +353,7 @@ def _score_runs(grams, segments: int):
                     [ids, batch.column(2).slice(i, j - i), pa.array(counts), pa.array(np.bincount(doc[known], minlength=j - i)), pa.array(base), levels],
                     names=["id", "held", "n", "known", "base", "levels"],
                 )
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, meta.schema, options=PACKED) as out:
-                    out.write_batch(meta)
-                rows = [(name, (part * 31 + nth) % segments, None, None, sink.getvalue().to_pybytes())]
+                rows = [(name, (part * 31 + nth) % segments, None, None, packed(meta))]
                 rest = ~known
                 rows += [(name, s, h.tobytes(), d.tobytes(), None) for s, (h, d) in by_segment(tokens[rest], segments, doc[rest])]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_ASK_TYPES)], names=[f.split()[0] for f in _ASK.split(", ")])
@@ -409,10 +412,7 @@ def _ask_segments(segments: int):
                 types, one = np.unique(tokens, return_inverse=True)
                 pairs, two = np.unique(pair_hash(before(tokens), tokens), return_inverse=True)
                 meta = pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n)], names=["id", "held", "n"])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, meta.schema, options=PACKED) as out:
-                    out.write_batch(meta)
-                rows = [(name, (part * 31 + nth) % segments, 0, None, None, sink.getvalue().to_pybytes(), np.stack((one, two)).astype(np.uint32).tobytes())]
+                rows = [(name, (part * 31 + nth) % segments, 0, None, None, packed(meta), np.stack((one, two)).astype(np.uint32).tobytes())]
                 for kind, own in ((1, types), (2, pairs)):
                     rows += [(name, s, kind, h.tobytes(), at.tobytes(), None, None) for s, (h, at) in by_segment(own, segments, np.arange(len(own), dtype=np.uint32))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_ASK_GRAMS_TYPES)], names=[f.split()[0] for f in _ASK_GRAMS.split(", ")])
