@@ -57,9 +57,6 @@ def short_set(hashes: np.ndarray) -> bytes:
     return np.unique((hashes >> np.uint64(32)).astype("<u4")).tobytes()
 
 
-_PRINT = "struct<set:long,keys:array<long>>"
-
-
 def _set_name(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
 
@@ -67,9 +64,12 @@ def _set_name(hashes: np.ndarray) -> int:
 def _sets(width: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sets = [shingle_set(t, width) for t in each_text(texts)]
-            cols = [pa.array([_set_name(s) for s in sets], pa.uint64()).cast(pa.int64(), safe=False), pa.array([short_set(s) for s in sets], pa.binary())]
-            yield pa.StructArray.from_arrays(cols, names=["set", "hashes"])
+            names, packed = np.zeros(len(texts), np.uint64), []
+            for i, text in enumerate(each_text(texts)):
+                hashes = shingle_set(text, width)
+                names[i] = _set_name(hashes)
+                packed.append(short_set(hashes))
+            yield pa.StructArray.from_arrays([pa.array(names.view(np.int64)), pa.array(packed, pa.binary())], names=["set", "hashes"])
 
     return F.arrow_udf(run, "struct<set:long,hashes:binary>")
 
@@ -77,13 +77,14 @@ def _sets(width: int):
 def _prints(width: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sets = [shingle_set(t, width) for t in each_text(texts)]
-            cols = [
-                pa.array([_set_name(s) for s in sets], pa.uint64()).cast(pa.int64(), safe=False), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
-            ]
-            yield pa.StructArray.from_arrays(cols, names=["set", "keys"])
-
-    return F.arrow_udf(run, _PRINT)
+            names, keys = np.zeros(len(texts), np.uint64), np.zeros((len(texts), BANDS), np.int64)
+            for i, text in enumerate(each_text(texts)):  # one set at a time is in memory
+                hashes = shingle_set(text, width)
+                names[i], keys[i] = _set_name(hashes), band_keys(hashes)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
+            yield pa.StructArray.from_arrays([pa.array(names.view(np.int64)), lists], names=["set", "keys"])
+
+    return F.arrow_udf(run, "struct<set:long,keys:array<long>>")
 
 
 def jaccard(one: pa.Array, two: pa.Array) -> pa.Array:
