@@ -71,7 +71,7 @@ def _sets(width: int):
                 packed.append(short_set(hashes))
             yield pa.StructArray.from_arrays([pa.array(names.view(np.int64)), pa.array(packed, pa.binary())], names=["set", "hashes"])
 
-    return F.arrow_udf(run, "struct<set:long,hashes:binary>")
+    return F.arrow_udf(run, "struct<set:long,hashes:binary>").asNondeterministic()  # a null test of it, pushed below, would run it twice
 
 
 def _prints(width: int):
