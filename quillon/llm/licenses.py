@@ -286,7 +286,8 @@ def scan_licenses(
                         ]
             yield pa.array(out, _FIELDS)
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.arrow_udf(run, _MATCH)(F.col(text_col).cast("string")).alias("_found"))
+    found = F.arrow_udf(run, _MATCH).asNondeterministic()  # the size test that explode() adds, pushed below, would run it twice
+    rows = docs.select(F.col(id_col).alias("_id"), found(F.col(text_col).cast("string")).alias("_found"))
     each = rows.select("_id", F.explode("_found").alias("_m"))
     return each.select(
         F.col("_id").alias(id_col), F.col("_m.license").alias("license"), F.col("_m.coverage").alias("coverage"), F.col("_m.matched").alias("matched"),
