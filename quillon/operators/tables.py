@@ -42,9 +42,10 @@ def shard_counts(meta: DataFrame, labelled: DataFrame) -> DataFrame:
     return both.select("shard", F.coalesce("labelled", F.lit(0)).alias("labelled"), (F.col("all") - F.coalesce("labelled", F.lit(0))).alias("skipped"))
 
 
-def pending(asked: DataFrame, done: DataFrame, key: str = "shard") -> DataFrame:
-    """What was asked for and has no output yet."""
-    return asked.select(key).distinct().join(done.select(key), key, "left_anti")
+def pending(asked: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
+    """What was asked for and has no output yet, by keys (the shard, if none are named)."""
+    by = list(keys or ("shard",))
+    return asked.select(*by).distinct().join(done.select(*by), by, "left_anti")
 
 
 def duration_buckets(clips: DataFrame, duration: str, size: int, *ties: str) -> DataFrame:

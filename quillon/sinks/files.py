@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,24 +33,31 @@ def write_text(spark: SparkSession, name: str, text: str) -> None:
     fs.rename(new, path)
 
 
-def done_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard) with an output partition in the folder."""
-    path, fs = _path(spark, f"{folder}/shard=*")
-    found = [int(s.getPath().getName().partition("=")[2]) for s in fs.globStatus(path) or []]
-    return spark.createDataFrame([(i,) for i in found], "shard int")
+def done_shards(spark: SparkSession, folder: str, by: tuple[str, ...] = ("shard",)) -> DataFrame:
+    """(*by) with an output partition in the folder: shard is an int, what else is in by (the model) a string."""
+    path, fs = _path(spark, "/".join([folder, *(f"{c}=*" for c in by)]))
+    schema = ", ".join(f"{c} {'int' if c == 'shard' else 'string'}" for c in by)
+    found = []
+    for status in fs.globStatus(path) or []:
+        parts = [unquote(part.partition("=")[2]) for part in status.getPath().toString().split("/")[-len(by) :]]
+        found.append(tuple(int(v) if c == "shard" else v for c, v in zip(by, parts, strict=True)))
+    return spark.createDataFrame(found, schema)
 
 
-def write_stage(rows: DataFrame, folder: str) -> None:
-    """rows as Parquet by shard, in order of pos; partitions that rows have are replaced, others stay."""
-    ordered = rows.repartition("shard").sortWithinPartitions("shard", "pos")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
+def write_stage(rows: DataFrame, folder: str, by: tuple[str, ...] = ("shard",)) -> None:
+    """rows as Parquet by shard, or by what by names, in order of pos; partitions that rows have are replaced, others stay.
+
+    With by=("model", "shard") a model's shard leaves those of other models as they are.
+    """
+    ordered = rows.repartition(*by).sortWithinPartitions(*by, "pos")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
 
 
-def write_pending(rows: DataFrame, folder: str) -> None:
-    """Only the shards that have no output yet."""
+def write_pending(rows: DataFrame, folder: str, by: tuple[str, ...] = ("shard",)) -> None:
+    """Only the shards, or (model, shard), that have no output yet."""
     spark = rows.sparkSession
-    left = pending(rows, done_shards(spark, folder))
-    write_stage(rows.join(F.broadcast(left), "shard", "left_semi"), folder)  # a number for each file
+    left = pending(rows, done_shards(spark, folder, by), *by)
+    write_stage(rows.join(F.broadcast(left), list(by), "left_semi"), folder, by)  # a few numbers for each file
 
 
 def publish_shards(rows: DataFrame, folder: str, card: str | None = None) -> tuple[int, int]:

@@ -137,6 +137,19 @@ def test_publish_and_resume(spark, tmp_path):
     assert write_jsonl(rows, str(tmp_path / "j")) == 100
 
 
+def test_stage_by_model_and_shard(spark, tmp_path):
+    rows = spark.createDataFrame([(s, p, f"u{s}{p}") for s in (0, 12) for p in range(3)], "shard int, pos long, utterance_id string")
+    stage, by = str(tmp_path / "stage"), ("model", "shard")
+    assert done_shards(spark, stage, by).count() == 0
+    write_pending(rows.withColumn("model", F.lit("org/a b=c")), stage, by)
+    write_pending(rows.filter("shard = 0").withColumn("model", F.lit("second")), stage, by)
+    write_pending(rows.withColumns({"model": F.lit("second"), "utterance_id": F.lit("new")}), stage, by)
+    assert sorted(map(tuple, done_shards(spark, stage, by).collect())) == [("org/a b=c", 0), ("org/a b=c", 12), ("second", 0), ("second", 12)]
+    kept = spark.read.parquet(stage)
+    assert kept.count() == 12 and sorted(r[0] for r in kept.filter("utterance_id = 'new'").select("shard").collect()) == [12] * 3
+    assert kept.filter("model = 'org/a b=c'").count() == 6
+
+
 def test_studio(spark, tmp_path):
     labels = spark.createDataFrame([(*_lab(f"kagc/{i}", "silver" if i % 2 else "gold", f"text {i}"), 0, i) for i in range(1, 7)], f"{LABELS}, shard int, pos long")
     meta = spark.createDataFrame([(f"kagc/{i}", "k", ["N1"]) for i in range(1, 7)], META)
