@@ -38,6 +38,15 @@ class Studio:
         rows = self._flagged()
         return plan_items(rows, review_plan(rows, budget))
 
+    def queue_totals(self) -> DataFrame:
+        """One row: total, the items of the queue; reviewed, all keys with a verdict, those outside the queue too."""
+        total = self.labels.agg(F.count_if(F.col("tier").isin("silver", "tail")).alias("total"))
+        return total.crossJoin(self.current().agg(F.count_distinct("utterance_id").alias("reviewed")))  # a row each
+
+    def plan_totals(self, budget: int = BUDGET) -> DataFrame:
+        """One row: total, the items of the plan; reviewed, those of them with a verdict."""
+        return self.plan(budget).agg(F.count(F.lit(1)).alias("total"), F.count_if("reviewed").alias("reviewed"))
+
     def stats(self) -> DataFrame:
         return queue_counts(self._flagged())
 

@@ -169,6 +169,17 @@ def test_studio(spark, tmp_path):
         desk.audio("kagc/1")
 
 
+def test_three_counts_of_reviewed(spark):
+    labels = spark.createDataFrame([(*_lab(f"kagc/{i}", "silver" if i % 2 else "gold", f"text {i}"), 0, i) for i in range(1, 7)], f"{LABELS}, shard int, pos long")
+    desk = Studio(labels, spark.createDataFrame([], META), spark.createDataFrame([], REVIEWS))
+    assert tuple(desk.queue_totals().first()) == (3, 0) and tuple(desk.plan_totals().first()) == (6, 0)
+    for key in ("kagc/1", "kagc/2"):
+        desk.record(key, "accept", "", "")
+    assert tuple(desk.queue_totals().first()) == (3, 2) and desk.stats().first()["reviewed"] == 1
+    items = desk.plan().collect()
+    assert tuple(desk.plan_totals().first()) == (len(items), sum(r["reviewed"] for r in items))
+
+
 def test_streamed_verdicts(spark, tmp_path):
     folder, out = str(tmp_path / "in"), []
     batch = lambda rows: append_rows(spark.createDataFrame(rows, "utterance_id string, seq long, action string, decision string, transcript string").coalesce(1), folder)
