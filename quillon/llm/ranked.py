@@ -21,7 +21,7 @@ from .textbytes import each_text
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 50
 #: Bytes of text in a shard (a longer text is a shard of its own), and terms of queries that go through the index together.
-SHARD_BYTES, BLOCK_TERMS = 1 << 24, 1_000_000
+SHARD_BYTES, BLOCK_TERMS = 1 << 23, 1_000_000
 #: Nodes of a tree that are opened together.
 STEP = 64
 
@@ -85,14 +85,18 @@ def build_tree(texts: list[bytes], docs: int, terms: int) -> dict:
     """
     data, at = joined(texts)
     low, start, end = term_places(data)
-    doc = np.searchsorted(at, start, side="right") - 1
+    doc = (np.searchsorted(at, start, side="right") - 1).astype(np.int32)
     cuts = np.concatenate(([0], np.cumsum(end - start)))
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(low[low != 0])]).dictionary_encode()
-    key = np.sort(words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(texts) + doc)
+    own, sizes = words.dictionary, np.bincount(doc, minlength=len(texts))
+    key = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(texts) + doc
+    del data, low, start, end, doc, cuts, words
+    key.sort()
     first = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0] if len(key) else np.zeros(0, np.int64)
     tf = np.diff(first, append=len(key))
     term, seq = key[first] // len(texts), (key[first] % len(texts)).astype(np.int32)
-    impact = impacts_of(tf, np.bincount(doc, minlength=len(texts))[seq], docs, terms)
+    impact = impacts_of(tf, sizes[seq], docs, terms)
+    del key, first, tf
     order = np.argsort((term << 20) - impact, kind="stable")  # an impact is under 2**20
     seq, impact = seq[order], impact[order].astype(np.int32)
     height, n = max(1, (len(texts) - 1).bit_length()), len(seq)
@@ -111,7 +115,7 @@ def build_tree(texts: list[bytes], docs: int, terms: int) -> dict:
         if k < height - 1:
             bounds[k] = level
     return {
-        "terms": words.dictionary.cast(pa.large_string()).cast(pa.string()), "starts": np.searchsorted(term, np.arange(len(words.dictionary) + 1)).astype(np.int64).tobytes(), "bits": bits.tobytes(),
+        "terms": own.cast(pa.large_string()).cast(pa.string()), "starts": np.searchsorted(term, np.arange(len(own) + 1)).astype(np.int64).tobytes(), "bits": bits.tobytes(),
         "zeros": zeros.tobytes(), "bounds": bounds.tobytes(), "scale": scale.tobytes(), "impacts": impact.tobytes(),
     }
 
@@ -204,14 +208,13 @@ def _index(docs: int, terms: int, shard_bytes: int):
             return pa.RecordBatch.from_arrays(cols, names=["shard", "ids", *_SHARD])
 
         for batch in batches:
-            here = list(each_text(batch.column(1)))
             first = 0
-            for i, text in enumerate(here):
+            for i, text in enumerate(each_text(batch.column(1)), 1):
+                texts.append(text)
                 size += len(text)
-                if size >= shard_bytes or i == len(here) - 1:
-                    ids.append(batch.column(0).slice(first, i + 1 - first))
-                    texts += here[first : i + 1]
-                    first = i + 1
+                if size >= shard_bytes or i == batch.num_rows:
+                    ids.append(batch.column(0).slice(first, i - first))
+                    first = i
                 if size >= shard_bytes:
                     yield shard()
                     nth, ids, texts, size = nth + 1, [], [], 0
