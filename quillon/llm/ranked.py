@@ -21,7 +21,7 @@ from .textbytes import each_text
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 50
 #: Bytes of text in a shard (a longer text is a shard of its own), and terms of queries that go through the index together.
-SHARD_BYTES, BLOCK_TERMS = 1 << 23, 1_000_000
+SHARD_BYTES, BLOCK_TERMS = 1 << 22, 1_000_000
 #: Nodes of a tree that are opened together.
 STEP = 64
 
