@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.matching import match_callsign
 from ..functions.text import canonical_callsigns, normalize, similarity
 from ..functions.voting import rover
 from ..operators.ensemble import agreement_score, classify_tier, clique_size, confidence_score, is_non_speech, pair_similarities
-from ..operators.tables import join_voters
+from ..operators.tables import join_voters, pending
 from ..schemas import HYPS
 from ..session import saved
+from ..sinks.effects import EffectLog
+from ..sinks.files import done_shards, write_stage
 from ..sources.catalog import ModelSpec, check_weights, factory_of
+from .calls import Calls, in_order, patient
 
 
 def transcribe(clips: DataFrame, spec: ModelSpec, batch: int = 32) -> DataFrame:
@@ -114,42 +117,107 @@ def transcript_grammar(tails: Column, airlines: dict[str, str] | None = None) ->
 Complete = Callable[[str, str | None], str]
 
 
-def correct(labels: DataFrame, meta: DataFrame, complete: Callable[[], Complete], done: DataFrame | None = None, airlines: dict[str, str] | None = None) -> DataFrame:
-    """labels with transcript, corrected and callsign_enforced after asking a language model about the silver ones.
-
-    complete makes, once a task, the function from (prompt, grammar or None) to an answer. Other
-    tiers never reach it: they are split off before and united again. done has rows of earlier, broken runs
-    (utterance_id, transcript, corrected, callsign_enforced): those are taken as they are and not asked again.
-    """
+def _prompted(silver: DataFrame, meta: DataFrame, airlines: dict[str, str] | None) -> DataFrame:
+    """silver with _prompt and _grammar (null where the answer is free)."""
     about = meta.select(F.col("utterance_id").alias("_key"), F.col("tails").alias("_tails"))
-    silver = labels.filter(F.col("tier").eqNullSafe("silver"))
-    others = labels.filter(~F.col("tier").eqNullSafe("silver")).withColumns({"corrected": F.lit(False), "callsign_enforced": F.lit(False)})
-    asked = silver if done is None else silver.join(done.select("utterance_id"), "utterance_id", "left_anti")
-    near = asked.join(about, asked["utterance_id"] == about["_key"], "left").drop("_key")
+    near = silver.join(about, silver["utterance_id"] == about["_key"], "left").drop("_key")
     tails = F.coalesce("_tails", F.array().cast("array<string>"))
-    matched = F.coalesce("callsign_matched", F.lit(False))
-    prompted = near.select(
-        *labels.columns, correction_prompt(F.col("voting_text"), F.col("transcript"), tails, airlines=airlines).alias("_prompt"),
-        F.when(matched, transcript_grammar(tails, airlines)).alias("_grammar"),
+    return near.select(
+        *silver.columns, correction_prompt(F.col("voting_text"), F.col("transcript"), tails, airlines=airlines).alias("_prompt"),
+        F.when(F.coalesce("callsign_matched", F.lit(False)), transcript_grammar(tails, airlines)).alias("_grammar"),
     )
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        ask = complete()
-        for prompts, grammars in batches:
-            yield pd.Series([ask(p, None if pd.isna(g) else g) for p, g in zip(prompts, grammars, strict=True)], dtype=object)
 
-    answer = F.pandas_udf(run, "string")(F.col("_prompt"), F.col("_grammar"))
-    answered = saved(prompted.withColumn("_answer", answer).drop("_prompt", "_grammar"))  # an answer is asked for once
-    held = matched & F.col("callsign_tail").isNotNull()
+def _settled(answered: DataFrame, columns: list[str], airlines: dict[str, str] | None) -> DataFrame:
+    """columns, with the transcript that _answer gives, and corrected and callsign_enforced. A null answer changes nothing."""
+    held = F.coalesce("callsign_matched", F.lit(False)) & F.col("callsign_tail").isNotNull()
     call = match_callsign(F.col("_answer"), F.when(held, F.array("callsign_tail")).otherwise(F.array().cast("array<string>")), airlines)
     found = answered.withColumn("_call", call)
     text = F.when(F.col("_call.text") != "", F.col("_call.text")).otherwise(normalize(F.col("transcript")))
-    fresh = found.select(
-        *[c for c in labels.columns if c != "transcript"], text.alias("_new"), (text != normalize(F.col("transcript"))).alias("corrected"),
+    return found.select(
+        *[c for c in columns if c != "transcript"], text.alias("_new"), (text != normalize(F.col("transcript"))).alias("corrected"),
         (held & F.col("_call.matched")).alias("callsign_enforced"),
     ).withColumnRenamed("_new", "transcript")
-    out = others.unionByName(fresh)
+
+
+def _split(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(silver rows, the others as they come out)."""
+    silver = F.col("tier").eqNullSafe("silver")
+    return labels.filter(silver), labels.filter(~silver).withColumns({"corrected": F.lit(False), "callsign_enforced": F.lit(False)})
+
+
+def correct(
+    labels: DataFrame, meta: DataFrame, complete: Callable[[], Complete], done: DataFrame | None = None, airlines: dict[str, str] | None = None, calls: Calls = Calls()
+) -> DataFrame:
+    """labels with transcript, corrected and callsign_enforced after asking a language model about the silver ones.
+
+    complete makes, once a task, the function from (prompt, grammar or None) to an answer; calls.in_flight threads call it. Other
+    tiers never reach it: they are split off before and united again. done has rows of earlier, broken runs
+    (utterance_id, transcript, corrected, callsign_enforced): those are taken as they are and not asked again. run_corrections() keeps such a record itself.
+    """
+    silver, others = _split(labels)
+    asked = silver if done is None else silver.join(done.select("utterance_id"), "utterance_id", "left_anti")
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        ask = patient(complete(), calls)
+        for prompts, grammars in batches:
+            pairs = ((p, None if pd.isna(g) else g) for p, g in zip(prompts, grammars, strict=True))
+            yield pd.Series(list(in_order(pairs, lambda pair: ask(*pair), calls.in_flight)), dtype=object)
+
+    answer = F.pandas_udf(run, "string")(F.col("_prompt"), F.col("_grammar"))
+    answered = saved(_prompted(asked, meta, airlines).withColumn("_answer", answer).drop("_prompt", "_grammar"))  # an answer is asked for once
+    out = others.unionByName(_settled(answered, labels.columns, airlines))
     if done is not None:
         kept = silver.drop("transcript").join(done.select("utterance_id", "transcript", "corrected", "callsign_enforced"), "utterance_id")
         out = out.unionByName(kept)
     return out.select(*labels.columns, "corrected", "callsign_enforced")
+
+
+def run_corrections(
+    labels: DataFrame, meta: DataFrame, complete: Callable[[], Complete], folder: str, calls: Calls = Calls(), airlines: dict[str, str] | None = None,
+    tasks: int | None = None, log: EffectLog | None = None,
+) -> DataFrame:
+    """Corrects the shards of labels (with shard and pos) that folder does not have, and writes them there; (shard, rows, corrected) of those.
+
+    Each answer is written to a log as a task gets it, before anything else is done with it. A run that breaks leaves the log; the next one
+    asks only what the log lacks, also for rows of tasks that Spark has tried again, so no prompt is asked twice once its answer is written down. What is put out is made
+    from the log alone. Shards are promoted when all their answers are there, and then the log is removed. Rows without an answer (calls.on_failure is
+    "none") keep their transcript.
+
+    tasks spreads the prompts anew; without it they stay where the rows are. log is folder + ".answers" if none is given. The counts are observed as
+    the rows are written, without a second scan.
+    """
+    spark, log = labels.sparkSession, log or EffectLog(f"{folder}.answers")
+    left = pending(labels, done_shards(spark, folder))
+    shards = left.count()
+    none = spark.createDataFrame([], "shard int, rows long, corrected long")
+    if not shards:
+        log.clear(spark)
+        return none
+    silver, others = _split(labels.join(F.broadcast(left), "shard", "left_semi"))  # a number for each file
+    prompted, key = _prompted(silver, meta, airlines), ["shard", "utterance_id"]
+    asked = prompted.join(log.answers(spark).select(*key), key, "left_anti").select(*key, "_prompt", "_grammar")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ask, n = patient(complete(), calls), 0
+        with log.writer() as writer:
+
+            def one(row) -> None:
+                answer = ask(row[2], None if pd.isna(row[3]) else row[3])
+                if answer is not None:
+                    writer.put(int(row[0]), row[1], answer)
+
+            for _ in in_order((row for rows in batches for row in rows.itertuples(index=False, name=None)), one, calls.in_flight):
+                n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    (asked if tasks is None else asked.repartition(tasks)).mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    answers = log.answers(spark).withColumnRenamed("answer", "_answer")
+    settled = _settled(prompted.join(answers, key, "left"), labels.columns, airlines)
+    seen, bins = Observation(), max(shards, 2)  # with a bin for each shard a histogram counts exactly
+    number = F.col("shard").cast("double")
+    counts = {"rows": F.histogram_numeric(number, F.lit(bins)), "corrected": F.histogram_numeric(F.when(F.col("corrected"), number), F.lit(bins))}
+    write_stage(others.unionByName(settled), folder, seen=seen, metrics=counts)
+    log.clear(spark)
+    corrected = {int(b["x"]): int(b["y"]) for b in seen.get["corrected"] or []}
+    return spark.createDataFrame([(int(b["x"]), int(b["y"]), corrected.get(int(b["x"]), 0)) for b in seen.get["rows"] or []], none.schema)

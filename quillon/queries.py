@@ -24,6 +24,7 @@ from .operators.tables import duration_buckets, join_voters, last_wins, next_unr
 from .operators.worklist import boundary, calibration, flag_reviewed, gold_validation, queue_counts, review_plan, review_queue
 from .plans.stages import correction_prompt, fuse, transcript_grammar
 from .session import numbered
+from .sinks.effects import first_answers
 from .sources.shards import expand_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,6 +484,18 @@ def correction_prompts(spark, sf_dir):
     )
 
 
+@query("""with r as (select *, row_number() over (partition by user_id order by event_id % 89, event_id) as n, count(*) over (partition by user_id) as attempts from events where event_type <> 'view')
+select user_id, event_type || ':' || cast(value as varchar) as answer, attempts from r where n = 1""")
+def effect_log_first_answer(spark, sf_dir):
+    """A log of answers, a line an event, replayed: several attempts wrote answers to one key, the first counts."""
+    log = _table(spark, sf_dir, "events").filter("event_type <> 'view'").select(
+        F.lit(0).alias("shard"), F.col("user_id").alias("utterance_id"), F.concat_ws(":", "event_type", F.col("value").cast("string")).alias("answer"),
+        (F.col("event_id") % 89).alias("at"), F.lit("").alias("file"), F.col("event_id").alias("pos"),
+    )
+    tried = log.groupBy("utterance_id").agg(F.count(F.lit(1)).alias("attempts"))
+    return first_answers(log).join(tried, "utterance_id").select(F.col("utterance_id").alias("user_id"), "answer", "attempts")
+
+
 @query()
 def fuse_labels(spark, sf_dir):
     """The whole label stage over turns: vote, callsigns, agreement, clique, tier, confidence."""

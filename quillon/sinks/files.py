@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.tables import pending
@@ -21,6 +21,12 @@ def exists(spark: SparkSession, name: str) -> bool:
     return fs.exists(path)
 
 
+def delete(spark: SparkSession, name: str) -> None:
+    """Removes a file or folder, if it is there."""
+    path, fs = _path(spark, name)
+    fs.delete(path, True)
+
+
 def write_text(spark: SparkSession, name: str, text: str) -> None:
     """A small file as a whole: under another name first, then renamed."""
     path, fs = _path(spark, name)
@@ -44,12 +50,15 @@ def done_shards(spark: SparkSession, folder: str, by: tuple[str, ...] = ("shard"
     return spark.createDataFrame(found, schema)
 
 
-def write_stage(rows: DataFrame, folder: str, by: tuple[str, ...] = ("shard",)) -> None:
+def write_stage(rows: DataFrame, folder: str, by: tuple[str, ...] = ("shard",), seen: Observation | None = None, metrics: dict[str, Column] | None = None) -> None:
     """rows as Parquet by shard, or by what by names, in order of pos; partitions that rows have are replaced, others stay.
 
-    With by=("model", "shard") a model's shard leaves those of other models as they are.
+    With by=("model", "shard") a model's shard leaves those of other models as they are. metrics are aggregates that seen gets on the way: of the rows
+    as they are written, after the last shuffle, so that a task tried again counts once.
     """
     ordered = rows.repartition(*by).sortWithinPartitions(*by, "pos")
+    if seen is not None:
+        ordered = ordered.observe(seen, *[c.alias(name) for name, c in (metrics or {}).items()])
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
 
 
@@ -94,8 +103,6 @@ def fill_card(card: str, rows: int, shards: int) -> str:
 
 def write_jsonl(rows: DataFrame, folder: str) -> int:
     """JSON lines in a folder; the number of rows, counted on the way. All or nothing, by Spark's commit."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
     return seen.get["n"]

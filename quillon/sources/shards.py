@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +42,18 @@ def list_shards(spark: SparkSession, folder: str, pattern: str = "shard-*") -> D
 def comma_list(value: str | None) -> list[str]:
     """Trimmed parts of a comma list, blanks dropped."""
     return [p.strip() for p in (value or "").split(",") if p.strip()]
+
+
+def shard_number(name: str) -> int | None:
+    """The number in the name of a shard's file or folder."""
+    found = re.search(r"shard-(\d+)", name)
+    return int(found[1]) if found else None
+
+
+def file_system(name: str):
+    """(pyarrow file system, path in it) of a path or URI, as Spark names them: what tasks read and write by themselves."""
+    from pyarrow import fs
+
+    if "://" not in name and not name.startswith("file:"):
+        return fs.LocalFileSystem(), name
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", name))
