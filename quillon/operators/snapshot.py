@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import shard_stem
@@ -13,19 +19,55 @@ def tier_counts(rows: DataFrame) -> DataFrame:
     return rows.rollup("tier").agg(F.count(F.lit(1)).alias("n"))
 
 
-def canonical(columns: list[str]):
-    """JSON of the columns in name order, nulls kept: the form that digests are taken of."""
-    return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+def _dumped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for rows in batches:
+        told = rows.to_pylist(maps_as_pydicts="strict")
+        yield pa.array([json.dumps(r, sort_keys=True, separators=(",", ":")) for r in told], pa.string())
+
+
+def canonical(columns: list[str]) -> Column:
+    """JSON of the columns, byte for byte as a plain serialiser gives it: the form that digests are taken of.
+
+    Keys are sorted at each depth and nothing is spaced; nulls are kept; what is not ASCII is escaped, beyond the basic plane as a pair; doubles have their
+    shortest form that reads back the same (1e-07, 1e+22, 10000000.0), and NaN, Infinity and -Infinity. Columns may be text, booleans, whole numbers, doubles,
+    and arrays, structs and maps with text as keys of these; of other types (dates, decimals, bytes) there is no such form, and they stop the query.
+    """
+    return F.arrow_udf(_dumped, "string")(F.struct(*sorted(columns)))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, digest) of lines in order of shard: only the hash that runs is held."""
+    none = object()
+    shard, running, empty = none, None, True
+
+    def told():
+        return pa.RecordBatch.from_arrays([pa.array([shard], kind), pa.array([running.hexdigest()])], names=["shard", "digest"])
+
+    for batch in batches:
+        kind, lines = batch.column(0).type, batch.column(1).to_pylist()
+        runs = pc.run_end_encode(batch.column(0))
+        for first, end, value in zip([0, *runs.run_ends.to_pylist()], runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=False):
+            if value != shard or running is None:
+                if running is not None:
+                    yield told()
+                shard, running, empty = value, hashlib.sha256(), True
+            some = [line for line in lines[first:end] if line is not None]
+            if some:
+                running.update((("" if empty else "\n") + "\n".join(some)).encode())
+                empty = False
+    if running is not None:
+        yield told()
 
 
-def shard_digests(rows: DataFrame, line, key: str = "utterance_id") -> DataFrame:
-    """(shard, digest): SHA-256 over a shard's lines by key. line is a Column of text.
+def shard_digests(rows: DataFrame, line: Column, key: str = "utterance_id") -> DataFrame:
+    """(shard, digest): SHA-256 over a shard's lines by key, then line, with a line feed between them. line is a Column of text; null lines are left out.
 
-    A shard is one file of the source, of bounded size, so its lines may meet in one row.
+    A shard's lines are sorted by Spark, which spills, and fed to its hash as they come: a task holds a batch of lines, whatever the shard's size.
     """
-    by_key = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line"))))
-    packed = rows.groupBy("shard").agg(F.array_join(F.transform(by_key, lambda x: x["line"]), "\n").alias("_all"))
-    return packed.select("shard", F.sha2("_all", 256).alias("digest"))
+    kind = rows.schema["shard"].dataType.simpleString()
+    keyed = rows.select("shard", F.col(key).alias("_key"), line.alias("_line"))
+    ordered = keyed.repartition("shard").sortWithinPartitions("shard", "_key", "_line").select("shard", "_line")
+    return ordered.mapInArrow(_hashed, f"shard {kind}, digest string")
 
 
 def snapshot_digest(digests: DataFrame) -> DataFrame:

@@ -37,3 +37,21 @@ def clips(source: DataFrame, rate: int | None = 16_000) -> DataFrame:
         F.col("utterance_id").cast("string"), "airport", present_tails(F.col("tails")).alias("tails"), "shard", "pos", "duration_s",
         decode_audio(F.col("audio.bytes"), rate, MIN_SAMPLES).alias("audio"),
     )
+
+
+def zip_rows(left: DataFrame, right: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows of two sets of shards by their places: the nth row of a shard with the nth of the shard of that number, as zip() pairs them.
+
+    Both have shard and pos, as read_source() gives them (the file's number and the row's index in it); other columns must not share names. What is
+    paired is found by these two numbers alone, so files may be read in any number of splits, on either side, and nothing is sorted or gathered: one
+    hash join, right being the side that is hashed. Rows beyond the end of the other side's shard are left out; strict stops the query at one.
+    """
+    both = set(left.columns) & set(right.columns) - {"shard", "pos"}
+    if both:
+        raise ValueError(f"columns of both sides: {', '.join(sorted(both))}")
+    marked = right.withColumn("_right", F.lit(True)).hint("shuffle_hash")
+    if not strict:
+        return left.join(marked, ["shard", "pos"]).drop("_right")
+    paired = left.withColumn("_left", F.lit(True)).join(marked, ["shard", "pos"], "full")
+    error = F.raise_error(F.format_string("row %d of shard %d has no mate", "pos", "shard")).cast("boolean")
+    return paired.filter(F.when(F.col("_left") & F.col("_right"), True).otherwise(error)).drop("_left", "_right")
