@@ -9,6 +9,24 @@ from ..schemas import DECISIONS, REVIEW_STATUS
 from .ensemble import confidence_score
 
 
+def _matched(events: DataFrame, key: str, order: tuple[str, ...]):
+    """(events that hold, all on their key's stack; the window from the end of the log)."""
+    back = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    step = F.when(F.col("action") == "set", -1).otherwise(1)
+    summed = events.withColumn("_run", F.coalesce(F.sum(step).over(later), F.lit(0)))
+    owed = F.col("_run") - F.least(F.lit(0), F.min("_run").over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    return summed.withColumn("_owed", owed).filter((F.col("action") == "set") & (F.col("_owed") == 0)).drop("_run", "_owed"), back
+
+
+def standing(events: DataFrame, key: str = "utterance_id", order: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """The sets that no undo has taken back: what is on each key's stack.
+
+    They stand for the whole log up to its end: with later events added, they replay to what the whole log does, as an undo takes back the latest set that stands.
+    """
+    return _matched(events, key, order)[0]
+
+
 def replay(events: DataFrame, key: str = "utterance_id", order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """The event that holds for each key after all its sets and undos; keys without one are absent.
 
@@ -17,14 +35,8 @@ def replay(events: DataFrame, key: str = "utterance_id", order: tuple[str, ...]
     stops at 0, and the first set that meets none is the one that holds. One shuffle by key, one sort, running
     sums only.
     """
-    back = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    later = back.rowsBetween(Window.unboundedPreceding, -1)
-    step = F.when(F.col("action") == "set", -1).otherwise(1)
-    summed = events.withColumn("_run", F.coalesce(F.sum(step).over(later), F.lit(0)))
-    owed = F.col("_run") - F.least(F.lit(0), F.min("_run").over(back.rowsBetween(Window.unboundedPreceding, 0)))
-    free = summed.withColumn("_owed", owed).filter((F.col("action") == "set") & (F.col("_owed") == 0))
-    first = free.withColumn("_nth", F.row_number().over(back)).filter("_nth = 1")
-    return first.drop("_run", "_owed", "_nth")
+    free, back = _matched(events, key, order)
+    return free.withColumn("_nth", F.row_number().over(back)).filter("_nth = 1").drop("_nth")
 
 
 def review_offset(events: DataFrame) -> DataFrame:

@@ -8,25 +8,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.context import SPAN, epoch_seconds, group_tracks, review_context, split_key
-from ..operators.review import check_decision, effective, replay, review_offset
+from ..operators.review import check_decision, effective, replay, review_offset, standing
 from ..operators.worklist import BUDGET, flag_reviewed, plan_items, queue_counts, review_plan, review_queue
 from ..schemas import REVIEWS
-from ..sinks.files import append_rows
+from ..session import saved
+from ..sinks.eventlog import EventLog
 
 
 class Studio:
     """labels (with shard and pos), meta, events and, if there is one, the source table with audio and tracks.
 
-    Events that are recorded are appended to folder, if one is given, and take part from then on. One
-    writer is assumed, as numbers are taken from the log's largest.
+    With a folder, events live in a log there (EventLog) that any number of desks may write to at once; events that are given are those from before the log, and
+    keep numbers below 0 there. Without one, events that are recorded are kept by this desk alone. Between requests a desk keeps, as a saved table, the sets that stand up to a seq;
+    a request reads that table and the log's segments from that seq on, not the log.
     """
 
     def __init__(self, labels: DataFrame, meta: DataFrame, events: DataFrame, source: DataFrame | None = None, folder: str | None = None, reviewer: str | None = None):
-        self.labels, self.meta, self.events, self.source = labels, meta, events, source
-        self.folder, self.reviewer = folder, reviewer
+        self.labels, self.meta, self.source, self.reviewer = labels, meta, source, reviewer
+        self.log = EventLog(labels.sparkSession, folder) if folder else None
+        if self.log:  # events from before the log come before all of it
+            events = events.withColumn("seq", F.col("seq") - F.lit(1 << 62))
+        self._base, self._upto, self.events = None, 0, events
+
+    def refresh(self) -> int:
+        """Brings the saved table up to the log's end: what stands of it and of the events since. The seq that it holds up to."""
+        if self.log is None:
+            return self._upto
+        end = self.log.next_seq()
+        if self._base is None or end > self._upto:
+            before = self._base if self._base is not None else self.events
+            added = self.log.read(self._upto).filter(F.col("seq") < end)
+            self._base, self._upto = saved(standing(before.unionByName(added.select(*before.columns)))), end
+        return self._upto
 
     def current(self) -> DataFrame:
-        return replay(self.events)
+        self.refresh()
+        return replay(self.events if self._base is None else self._base)
 
     def _flagged(self) -> DataFrame:
         return flag_reviewed(self.labels, self.current().select("utterance_id"))
@@ -80,13 +97,17 @@ class Studio:
         found = self.labels.filter(F.col("utterance_id") == utterance_id).select("shard").first()
         if found is None:
             raise KeyError(utterance_id)
-        seq = review_offset(self.events).first()["review_offset"]
-        row = (utterance_id, action, seq, time.time(), int(found["shard"]), self.reviewer, decision, transcript, base_hyp)
-        event = self.labels.sparkSession.createDataFrame([row], REVIEWS)
-        if self.folder:
-            append_rows(event, self.folder)
-        self.events = self.events.select(*event.columns).unionByName(event)
-        return event.first().asDict()
+        row = {
+            "utterance_id": utterance_id, "action": action, "seq": 0, "ts": time.time(), "shard": int(found["shard"]), "reviewer": self.reviewer, "decision": decision,
+            "transcript": transcript, "base_hyp": base_hyp,
+        }
+        if self.log:
+            row["seq"] = self.log.append([row])
+        else:
+            row["seq"] = review_offset(self.events).first()["review_offset"]
+            event = self.labels.sparkSession.createDataFrame([tuple(row.values())], REVIEWS)
+            self.events = self.events.select(*event.columns).unionByName(event)
+        return row
 
     def record(self, utterance_id: str, decision: str, transcript: str, base_hyp: str) -> dict:
         """Adds a verdict; an unknown decision or utterance raises before anything is written."""

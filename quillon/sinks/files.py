@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +28,63 @@ def delete(spark: SparkSession, name: str) -> None:
     fs.delete(path, True)
 
 
-def write_text(spark: SparkSession, name: str, text: str) -> None:
-    """A small file as a whole: under another name first, then renamed."""
-    path, fs = _path(spark, name)
-    new, _ = _path(spark, f"{name}.{uuid.uuid4().hex}.new")
+def _is_local(fs) -> bool:
+    return fs.getUri().getScheme() == "file"
+
+
+def _local(spark: SparkSession, fs, path):
+    return spark._jvm.java.nio.file.Paths.get(fs.makeQualified(path).toUri().getPath(), spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 0))
+
+
+def _write_new(spark: SparkSession, beside: str, data: bytes):
+    """(path, file system) of a whole new file beside the name, hidden from readers."""
+    folder, _, last = beside.rpartition("/")
+    new, fs = _path(spark, f"{folder}/.{last}.{uuid.uuid4().hex}.new")
+    fs = fs.getRawFileSystem() if _is_local(fs) else fs  # without a checksum beside it, which a rename of the file alone would leave
     out = fs.create(new, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(data))
     out.close()
-    if fs.exists(path):
-        fs.delete(path, False)
-    fs.rename(new, path)
+    return new, fs
+
+
+def replace(spark: SparkSession, new, name: str) -> None:
+    """Renames new to name in one step, over what is there: a reader finds the old file or the new one, never none."""
+    path, fs = _path(spark, name)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    if _is_local(fs):  # its own rename deletes first
+        fs.getRawFileSystem().delete(fs.getChecksumFile(path), False)
+        options = gateway.new_array(jvm.java.nio.file.CopyOption, 1)
+        options[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
+        jvm.java.nio.file.Files.move(_local(spark, fs, new), _local(spark, fs, path), options)
+        return
+    how = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(new, path, how)
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """A small file as a whole: under another name first, then renamed over what is there."""
+    new, _ = _write_new(spark, name, text.encode())
+    replace(spark, new, name)
+
+
+def create_only(spark: SparkSession, name: str, data: bytes) -> bool:
+    """Creates the file with its whole content, or gives False where the name is taken: of several writers one gets True."""
+    new, fs = _write_new(spark, name, data)
+    path, _ = _path(spark, name)
+    try:
+        if _is_local(fs):
+            spark._jvm.java.nio.file.Files.createLink(_local(spark, fs, path), _local(spark, fs, new))
+        else:
+            none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(new, path, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(new, False)
+    return True
 
 
 def done_shards(spark: SparkSession, folder: str, by: tuple[str, ...] = ("shard",)) -> DataFrame:
@@ -85,10 +133,7 @@ def publish_shards(rows: DataFrame, folder: str, card: str | None = None) -> tup
     shards = 0
     for status in fs.globStatus(_path(spark, f"{temp}/_shard=*/*.parquet")[0]) or []:
         index = int(status.getPath().getParent().getName().partition("=")[2])
-        target, _ = _path(spark, f"{folder}/shard-{index:05d}.parquet")
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(status.getPath(), target)
+        replace(spark, status.getPath(), f"{folder}/shard-{index:05d}.parquet")
         shards += 1
     fs.delete(base, True)
     if card is not None:
