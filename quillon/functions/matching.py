@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,13 +26,49 @@ def common_length(masks: dict[str, int], full: int, window: str) -> int:
     return (full & ~row).bit_count()
 
 
-def partial_ratio(needle: str, hay: str, floor: float = 0.0) -> tuple[float, int, int]:
+class Slid:
+    """A text that other strings are slid over: its letters as places in a table of the different ones."""
+
+    def __init__(self, text: str):
+        self.text, self.letters = text, list(dict.fromkeys(text))
+        place = {ch: i for i, ch in enumerate(self.letters)}
+        self.places = np.array([place[ch] for ch in text], np.intp)
+
+    def windows(self, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, lengths) of what a string of m letters covers, from its last letter on the first to its first on the last."""
+        end = np.arange(1, len(self.text) + m)
+        a, b = np.maximum(end - m, 0), np.minimum(end, len(self.text))
+        return a, b, b - a
+
+    def common(self, needle: str) -> np.ndarray:
+        """Length of the longest common subsequence of needle with each window: all windows take their next letter together, a bit a place of needle."""
+        m, masks = len(needle), {}
+        for i, ch in enumerate(needle):
+            masks[ch] = masks.get(ch, 0) | 1 << i
+        if m > 63:  # more places than a machine word has bits
+            a, b, _ = self.windows(m)
+            return np.array([common_length(masks, (1 << m) - 1, self.text[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+        n = len(self.text)
+        padded = np.zeros(n + 2 * (m - 1), np.uint64)  # beyond the ends no letter is in common
+        padded[m - 1 : m - 1 + n] = np.array([masks.get(ch, 0) for ch in self.letters], np.uint64)[self.places]
+        width, full = n + m - 1, np.uint64((1 << m) - 1)
+        row, hit, more = np.full(width, full), np.empty(width, np.uint64), np.empty(width, np.uint64)
+        for k in range(m):
+            np.bitwise_and(row, padded[k : k + width], out=hit)
+            np.add(row, hit, out=more)
+            np.subtract(row, hit, out=row)
+            np.bitwise_or(row, more, out=row)
+        return np.bitwise_count(~row & full)
+
+
+def partial_ratio(needle: str, hay: str | Slid, floor: float = 0.0) -> tuple[float, int, int]:
     """(best similarity, start, end in hay): needle slides over hay, over both ends too; the first best window counts.
 
     The similarity of two strings is 2 * common subsequence / both lengths. If needle is the longer, hay slides over it and
-    the span is the whole hay. Of two strings of one length both are slid. What is not over floor is given as floor or less. A window is compared
-    only if the letters it has in common with needle, in whatever order, could make it the best.
+    the span is the whole hay. Of two strings of one length both are slid. What is not over floor is given as floor or less.
     """
+    slid = hay if isinstance(hay, Slid) else None
+    hay = slid.text if slid else hay
     if not needle or not hay:
         return (1.0 if needle == hay else 0.0), 0, len(hay)
     if len(needle) > len(hay):
@@ -40,37 +77,18 @@ def partial_ratio(needle: str, hay: str, floor: float = 0.0) -> tuple[float, int
     at = hay.find(needle)
     if at >= 0:
         return 1.0, at, at + m
-    full, masks, left = (1 << m) - 1, {}, dict.fromkeys(hay, 0)
-    for i, ch in enumerate(needle):
-        masks[ch] = masks.get(ch, 0) | 1 << i
-        left[ch] = left.get(ch, 0) + 1
-    best, shared = (floor, 0, m), 0
-    for end in range(1, n + m):
-        a, b = max(end - m, 0), min(end, n)
-        if end <= n:  # a letter comes in at the right
-            shared += left[hay[b - 1]] > 0
-            left[hay[b - 1]] -= 1
-        if end > m:  # one goes out at the left
-            left[hay[a - 1]] += 1
-            shared -= left[hay[a - 1]] > 0
-        if 2 * shared > best[0] * (m + b - a):
-            score = 2 * common_length(masks, full, hay[a:b]) / (m + b - a)
-            if score > best[0]:
-                best = (score, a, b)
+    slid = slid or Slid(hay)
+    a, b, length = slid.windows(m)
+    scores = 2 * slid.common(needle) / (m + length)
+    k = int(np.argmax(scores))
+    best = (float(scores[k]), int(a[k]), int(b[k])) if scores[k] > floor else (floor, 0, m)
     if m == n:
-        other = partial_ratio_of_equal(hay, needle)
+        _, _, length = slid.windows(m)
+        other = float(np.max(np.where(length < m, 2 * Slid(needle).common(hay) / (m + length), 0.0)))
         best = (other, 0, n) if other > best[0] else best
     return best
 
 
-def partial_ratio_of_equal(needle: str, hay: str) -> float:
-    full, masks, m = (1 << len(needle)) - 1, {}, len(needle)
-    for i, ch in enumerate(needle):
-        masks[ch] = masks.get(ch, 0) | 1 << i
-    ends = [hay[:k] for k in range(1, m)] + [hay[k:] for k in range(1, m)]
-    return max((2 * common_length(masks, full, w) / (m + len(w)) for w in ends), default=0.0)
-
-
 def word_span(needle: str, hay: str) -> tuple[int, int]:
     """The run of as many words as needle has that is most like it; the first of equals."""
     words, n = hay.split(" "), len(needle.split(" "))
@@ -86,9 +104,10 @@ def word_span(needle: str, hay: str) -> tuple[int, int]:
 
 def find_callsign(text: str, spoken: list[list[str]], tails: list[str], canonical: list[str], whole_words: bool) -> tuple:
     best: tuple[float, int, str, int, int] = (0.0, -1, "", 0, 0)
+    slid = Slid(text)
     for k, forms in enumerate(spoken):
         for form in forms:
-            score, a, b = partial_ratio(form, text, best[0])
+            score, a, b = partial_ratio(form, slid, best[0])
             if score > best[0]:
                 best = (score, k, form, a, b)
     score, k, form, a, b = best
