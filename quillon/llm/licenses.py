@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -66,8 +67,8 @@ TEMPLATES = {
     "MPL-2.0/short": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 GRAM, WINNOW = 3, 2
-#: Words that an alignment may drift from its diagonal: a share of the template's, BAND at least.
-BAND, DRIFT = 8, 0.05
+#: Words that an alignment may drift from its diagonal, at least; more where a place may lack or have put in more words.
+BAND = 8
 
 #: Bytes to lower case; what is no ASCII letter or digit nor part of another letter becomes a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -145,8 +146,9 @@ def build_index(templates: dict[str, str], least: float = 0.8) -> TemplateIndex:
     return TemplateIndex(names, tokens, flat[order], join(owner), join(place), sorted(widths))
 
 
-def band_of(template: np.ndarray) -> int:
-    return max(BAND, math.ceil(DRIFT * len(template)))
+def band_of(template: np.ndarray, least: float) -> int:
+    """The drift that a place can have: as many words left out or put in as it may lack."""
+    return max(BAND, len(template) - math.ceil(least * len(template) - 1e-9))
 
 
 def banded_alignment(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
@@ -202,29 +204,40 @@ def align_candidates(tokens: np.ndarray, hits: list[tuple[int, int, int]], index
     A hit is skipped only where an accepted span of its template covers it; else it is aligned from its own diagonal between such spans, until it is covered or nothing is found.
     """
     tried, found = set(), []
-    taken: dict[int, list[tuple[int, int]]] = {}
+    taken: dict[int, tuple[list[int], list[int]]] = {}  # starts and ends of a template's accepted spans, in order; they do not meet
     for t, i, j in sorted(hits, key=lambda x: (x[0], x[2], x[1])):
-        own, spans = index.tokens[t], taken.setdefault(t, [])
-        band = band_of(own)
-        while not any(a <= j < b for a, b in spans):
+        own, (starts, ends) = index.tokens[t], taken.setdefault(t, ([], []))
+        band = band_of(own, least)
+        while True:
+            k = bisect_right(starts, j)
+            if k and j < ends[k - 1]:
+                break
             # what accepted spans of the template leave around the hit
-            lo = max([0, j - i - band, *(b for a, b in spans if b <= j)])
-            hi = min([len(tokens), j - i + len(own) + band, *(a for a, b in spans if a > j)])
+            lo = max(0, j - i - band, ends[k - 1] if k else 0)
+            hi = min(len(tokens), j - i + len(own) + band, starts[k] if k < len(starts) else len(tokens))
             if (t, j - i, lo, hi) in tried:
                 break
             tried.add((t, j - i, lo, hi))
-            if np.isin(own, tokens[lo:hi]).sum() < least * len(own):
+            if lo <= j - i and j - i + len(own) <= hi and np.array_equal(tokens[j - i : j - i + len(own)], own):
+                matched, start, end = len(own), j - i - lo, j - i - lo + len(own)  # word for word: nothing to align
+            elif np.isin(own, tokens[lo:hi]).sum() < least * len(own) - 1e-9:
                 break
-            matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo, band)
-            if matched < least * len(own):
+            else:
+                matched, start, end = banded_alignment(own, tokens[lo:hi], j - i - lo, band)
+            if matched < least * len(own) - 1e-9:
                 break
-            spans.append((lo + start, lo + end))
+            at = bisect_right(starts, lo + start)
+            starts.insert(at, lo + start)
+            ends.insert(at, lo + end)
             found.append((t, matched / len(own), matched, lo + start, lo + end))
     kept: list[tuple[int, float, int, int, int]] = []
+    starts = []
     for one in sorted(set(found), key=lambda x: (-x[2], -x[1], x[3], x[0])):
-        if all(one[4] <= o[3] or o[4] <= one[3] for o in kept):
-            kept.append(one)
-    return sorted(kept, key=lambda x: x[3])
+        at = bisect_right(starts, one[3])
+        if (not at or kept[at - 1][4] <= one[3]) and (at == len(kept) or one[4] <= kept[at][3]):
+            kept.insert(at, one)
+            starts.insert(at, one[3])
+    return kept
 
 
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -239,52 +252,52 @@ _MATCH = "array<struct<license:string,coverage:double,matched:long,start:long,en
 _FIELDS = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("matched", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+def scan_texts(texts: pa.Array, index: TemplateIndex, least: float) -> list[list[dict]]:
+    """The places of each text: license, coverage, matched, start, end."""
+    out: list[list[dict]] = []
+    for i, j, data, offsets in text_runs(texts):
+        out += [[] for _ in range(i, j)]
+        whole, cuts = data.tobytes(), offsets.tolist()
+        parts = [words_of(whole[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        first = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        tokens = _digests([w for p in parts for w in p])
+        by_doc: dict[int, list[tuple[int, int, int]]] = {}
+        for width in index.widths:
+            hashes = gram_hashes(tokens, width)  # the index is winnowed where it may be; the text is looked up whole
+            low, high = np.searchsorted(index.keys, hashes, "left"), np.searchsorted(index.keys, hashes, "right")
+            at = np.flatnonzero(high > low)
+            doc = np.searchsorted(first, at, side="right") - 1
+            inside = at + width <= first[doc + 1]
+            for p, k in zip(at[inside], doc[inside].tolist(), strict=True):
+                hits = by_doc.setdefault(k, [])
+                hits.extend((int(index.template[x]), int(index.place[x]), int(p - first[k])) for x in range(low[p], high[p]))
+        for k, hits in by_doc.items():
+            got = align_candidates(tokens[first[k] : first[k + 1]], hits, index, least)
+            if got:
+                starts, ends = word_places(whole[cuts[k] : cuts[k + 1]])
+                out[i + k] = [{"license": index.names[t], "coverage": c, "matched": n, "start": int(starts[s]), "end": int(ends[e - 1])} for t, c, n, s, e in got]
+    return out
+
+
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """A row for each place where a template is matched: id, license, coverage, matched, span_start, span_end.
 
     coverage is the share of the template's words that the alignment matches, least at least; the
-    span is in code points, end exclusive, from the first matched word to the last. A place where words are replaced or
-    put in, and least of the template's words stay, always has a fingerprint of it in the index; where words are missing besides, long templates may
-    lack one. Templates without words are never found. Places that meet are given once, for the template with
+    span is in code points, end exclusive, from the first matched word to the last. A place that keeps least of the template's words, whether the others are replaced or left
+    out or as many are put in, always has a fingerprint of it in the index, and its alignment stays in the band; where several of these come together, it may have none. The
+    alignment that earns most is taken, and it may end before a last few words that stand beyond more changed ones: of places at the very limit a few in a hundred are lost so. Templates without words are never found. Places that meet are given once, for the template with
     most matched words (ties: larger coverage, then the name). The index is of the templates, which
     the caller names, and goes to the tasks; texts stay where they are. A null or empty text has no
     rows, nor has a document without a match; rows that repeat give their rows each. Other
     columns of the input are not read.
     """
-    index = build_index(TEMPLATES if templates is None else templates, least)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(build_index(TEMPLATES if templates is None else templates, least))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own: TemplateIndex = shared.value
         for texts in batches:
-            out: list[list[dict]] = []
-            for i, j, data, offsets in text_runs(texts):
-                out += [[] for _ in range(i, j)]
-                whole, cuts = data.tobytes(), offsets.tolist()
-                parts = [words_of(whole[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-                first = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-                tokens = _digests([w for p in parts for w in p])
-                by_doc: dict[int, list[tuple[int, int, int]]] = {}
-                for width in own.widths:
-                    hashes = gram_hashes(tokens, width)  # the index is winnowed where it may be; the text is looked up whole
-                    low, high = np.searchsorted(own.keys, hashes, "left"), np.searchsorted(own.keys, hashes, "right")
-                    at = np.flatnonzero(high > low)
-                    doc = np.searchsorted(first, at, side="right") - 1
-                    inside = at + width <= first[doc + 1]
-                    for p, k in zip(at[inside], doc[inside].tolist(), strict=True):
-                        hits = by_doc.setdefault(k, [])
-                        hits.extend((int(own.template[x]), int(own.place[x]), int(p - first[k])) for x in range(low[p], high[p]))
-                for k, hits in by_doc.items():
-                    text = whole[cuts[k] : cuts[k + 1]]
-                    got = align_candidates(tokens[first[k] : first[k + 1]], hits, own, least)
-                    if got:
-                        starts, ends = word_places(text)
-                        out[i + k] = [
-                            {"license": own.names[t], "coverage": c, "matched": n, "start": int(starts[s]), "end": int(ends[e - 1])} for t, c, n, s, e in got
-                        ]
-            yield pa.array(out, _FIELDS)
+            yield pa.array(scan_texts(texts, shared.value, least), _FIELDS)
 
     found = F.arrow_udf(run, _MATCH).asNondeterministic()  # the size test that explode() adds, pushed below, would run it twice
     rows = docs.select(F.col(id_col).alias("_id"), found(F.col(text_col).cast("string")).alias("_found"))

@@ -1,13 +1,15 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillon.llm.licenses import BAND, TEMPLATES, banded_alignment, op5_licenses, scan_licenses
+from quillon.llm.licenses import BAND, TEMPLATES, banded_alignment, build_index, op5_licenses, scan_licenses, scan_texts
 from quillon.llm.pii import ALL_KINDS, KINDS, candidates, find_pii, fit_spans, op10_pii, planted_rows, span_list
 
 #: The base patterns as the contract gives them.
@@ -87,7 +89,6 @@ def test_added_spans_of_planted_forms(spark, sf_dir):
 
 
 def test_many_matches_of_a_text_stay_linear(spark):
-    import time
 
     text, took = "12 a@b.c " * 40_000, []
     model = fit_spans(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
@@ -134,23 +135,61 @@ def test_licenses_that_recur_within_a_band(spark):
         assert sorted(by[i]) == [(x, x + (22 if i == 2 else len(mit) - 1)) for x in starts], (i, t)
 
 
-def test_licenses_with_any_fifth_replaced(spark):
-    """Every place that keeps 0.8 of a template's words is found, whichever words are replaced or put in."""
-    rng, rows, want = random.Random(35), [], {}
-    for name, template in TEMPLATES.items():
-        words = re.findall(r"[0-9A-Za-z]+", template)
-        spare = len(words) - -(-8 * len(words) // 10)
-        for k in range(12):
-            own = list(words)
-            for at in rng.sample(range(len(own)), spare):
-                own[at] = f"q{rng.randrange(1000)}" if k % 3 or at in (0, len(own) - 1) else own[at] + f" q{rng.randrange(1000)}"
-            i = len(rows)
-            rows.append((i, " ".join(["z"] * rng.randrange(30) + own + ["y"] * rng.randrange(30))))
-            want[i] = name
-    found = {(r["doc_id"], r["license"]) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    kin = lambda n: re.split("[-/]", n)[0]  # noqa: E731  of places that meet the one that matches most is given: GPL-2.0 for GPL-3.0 without its 3
-    lost = [(i, n) for i, n in want.items() if not any(j == i and kin(n) == kin(m) for j, m in found)]
-    assert not lost
+def edited(rng, words, n, how):
+    own = list(words)
+    for at in sorted(rng.sample(range(len(own)), n), reverse=True):
+        if how == "replaced":
+            own[at] = f"q{rng.randrange(1000)}"
+        elif how == "left out":
+            del own[at]
+        else:
+            own.insert(at + 1, f"q{rng.randrange(1000)}")
+    return own
+
+
+@pytest.mark.parametrize("how", ["replaced", "left out", "put in"])
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_each_license_by_itself_with_a_fifth_changed(name, how):
+    """Of places with exactly as many words changed as least allows, 0.95 are found, where they are, with no other template to stand in."""
+    rng, words, index = random.Random(f"{name} {how}"), re.findall(r"[0-9A-Za-z]+", TEMPLATES[name]), build_index({name: TEMPLATES[name]})
+    n, before = len(words) - -(-8 * len(words) // 10), [rng.randrange(30) for _ in range(200)]
+    texts = [" ".join(["z"] * k + edited(rng, words, n, how) + ["y"] * rng.randrange(30)) for k in before]
+    got = scan_texts(pa.array(texts), index, 0.8)
+    found = [m for m, k in zip(got, before, strict=True) if len(m) == 1 and m[0]["coverage"] >= 0.8 - 1e-9 and m[0]["start"] >= 2 * k]
+    assert len(found) >= 190
+
+
+def most_in_common(template, text):
+    row = [0] * (len(text) + 1)
+    for word in template:
+        new = [0]
+        for j, other in enumerate(text, 1):
+            new.append(max(row[j], new[-1], row[j - 1] + (word == other)))
+        row = new
+    return row[-1]
+
+
+def test_licenses_against_every_window_of_short_texts():
+    """What some window of the template's length has in common with it, 0.8 or more of its words in order, is found; where no window of a fifth more has it, nothing is."""
+    rng, template = random.Random(9), "a b c d e f g h i j k l m n o"
+    index, words = build_index({"one": template}), template.split()
+    lost = there = 0
+    for _ in range(400):
+        text = [rng.choice("xyz") for _ in range(rng.randrange(12))] + edited(rng, words, rng.randrange(6), rng.choice(("replaced", "left out", "put in")))
+        text += [rng.choice("xyza") for _ in range(rng.randrange(12))]
+        got = scan_texts(pa.array([" ".join(text)]), index, 0.8)[0]
+        tight = any(most_in_common(words, text[k : k + len(words)]) >= 12 for k in range(len(text)))
+        loose = any(most_in_common(words, text[k : k + len(words) + 6]) >= 12 for k in range(len(text)))
+        there, lost = there + tight, lost + (tight and not got)
+        assert loose or not got
+    assert there > 150 and lost <= 0.02 * there
+
+
+def test_many_notices_in_one_text():
+    texts = pa.array([" ".join([TEMPLATES["MIT/short"]] * 20_000), " and ".join([TEMPLATES["GPL/notice"]] * 2000)])
+    began = time.time()
+    got = scan_texts(texts, build_index(TEMPLATES), 0.8)
+    assert [len(g) for g in got] == [20_000, 2000] and time.time() - began < 20
 
 
 def plain_alignment(template, text, diagonal, band):
