@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod, table
+from ._common import crc_mod, saved, table
 from .textbytes import text_runs
 
 #: Bits for a byte that no context knows, not even the empty one.
 FLAT_BITS = 8.0
 #: More languages than this are refused: their sizes are broadcast, and each text is coded in all of them.
 MAX_LANGS = 1000
+#: Bytes that the trees may take, which the driver puts together and each task holds: CELL for a string and language.
+MAX_TREES, CELL = 200_000_000, 8
 
 
 @dataclass
@@ -130,15 +132,19 @@ def fit_languages(
 ) -> ContextTrees:
     """Trees from docs with text and lang; the trees are bounded as their sample is.
 
-    The sample is, for each language, about train_docs documents by a hash of the id, of those with
-    train_chars characters at most. Strings of over three bytes must occur min_deep times.
+    The sample is, for each language, about train_docs documents by a hash of the id; of a text of over train_chars characters it takes a run of
+    so many from a place that the hash picks, so that a language whose texts are all long is learned as others are. Each language that has a text that is
+    not empty is learned. Strings of over three bytes must occur min_deep times; shorter ones all stay, so no language loses its own. Many languages
+    need a smaller sample: trees beyond MAX_TREES bytes stop the fit with figures before anything is gathered.
     """
-    rows = docs.filter(F.col(lang_col).isNotNull() & (F.length(F.col(text_col)) > 0) & (F.length(F.col(text_col)) <= train_chars))
+    rows = docs.filter(F.col(lang_col).isNotNull() & (F.length(F.col(text_col)) > 0))
     sizes = rows.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
     if sizes.count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.select(F.col(lang_col).alias("_lang"), draw.alias("_u"), F.lower(F.col(text_col)).alias("_text"))
+    draw = lambda salt: F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    spare = F.greatest(F.length(text_col) - train_chars, F.lit(0))
+    part = F.substring(F.col(text_col), (1 + F.floor(draw(8) * (spare + 1))).cast("int"), F.lit(train_chars))
+    chosen = rows.select(F.col(lang_col).alias("_lang"), draw(7).alias("_u"), F.lower(part).alias("_text"))
     chosen = chosen.join(F.broadcast(sizes), "_lang").filter(F.col("_u") * F.col("_n") < train_docs).select("_lang", "_text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +159,14 @@ def fit_languages(
                             names=["lang", "depth", "gram", "n"],
                         )
 
-    counted = chosen.mapInArrow(count, "lang string, depth int, gram long, n long").groupBy("lang", "depth", "gram").agg(F.sum("n").alias("n"))
-    got = counted.toPandas()
-    deep = got.groupby(["depth", "gram"])["n"].transform("sum")
-    got = got[(got["depth"] < 3) | (deep >= min_deep)]
-    return build_trees(got, sorted(set(got["lang"])), depth)
+    counted = saved(chosen.mapInArrow(count, "lang string, depth int, gram long, n long").groupBy("lang", "depth", "gram").agg(F.sum("n").alias("n")))
+    kept = counted.groupBy("depth", "gram").agg(F.sum("n").alias("_all")).filter((F.col("depth") < 3) | (F.col("_all") >= min_deep))
+    langs, strings = sorted(r["lang"] for r in counted.select("lang").distinct().collect()), kept.count()
+    if strings * max(len(langs), 1) * CELL > MAX_TREES:
+        raise ValueError(
+            f"{strings} strings of {len(langs)} languages take {strings * len(langs) * CELL} bytes, over {MAX_TREES}: a smaller sample (train_docs, train_chars), or min_deep"
+        )
+    return build_trees(counted.join(kept.drop("_all"), ["depth", "gram"], "left_semi").toPandas(), langs, depth)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, text_col: str = "text", name: str = "_language") -> DataFrame:
