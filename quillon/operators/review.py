@@ -81,11 +81,11 @@ def published(rows: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def training_rows(rows: DataFrame, tiers: tuple[str, ...] = ("gold", "silver")) -> DataFrame:
-    """Accepted and edited rows, and unreviewed ones of the tiers, that have a transcript."""
+def training_rows(rows: DataFrame, tiers: tuple[str, ...] = ("gold", "silver"), *carry: str) -> DataFrame:
+    """Accepted and edited rows, and unreviewed ones of the tiers, that have a transcript; and the columns named."""
     wanted = F.when(F.col("reviewed"), F.col("review_decision").isin("accept", "edit")).otherwise(F.col("tier").isin(*tiers))
     return rows.filter(wanted & (F.col("effective_transcript") != "")).select(
-        "utterance_id", F.col("effective_transcript").alias("transcript"), "tier", "source", "reviewed", "agreement_score", "rover_confidence"
+        *carry, "utterance_id", F.col("effective_transcript").alias("transcript"), "tier", "source", "reviewed", "agreement_score", "rover_confidence"
     )
 
 

@@ -19,10 +19,17 @@ def tier_counts(rows: DataFrame) -> DataFrame:
     return rows.rollup("tier").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dumped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for rows in batches:
-        told = rows.to_pylist(maps_as_pydicts="strict")
-        yield pa.array([json.dumps(r, sort_keys=True, separators=(",", ":")) for r in told], pa.string())
+def _dumper(**form):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            yield pa.array([json.dumps(r, **form) for r in rows.to_pylist(maps_as_pydicts="strict")], pa.string())
+
+    return run
+
+
+def json_line(columns: list[str]) -> Column:
+    """JSON of the columns in the order given, as a plain serialiser writes a row by default: values as in canonical(), a space after comma and colon."""
+    return F.arrow_udf(_dumper(), "string")(F.struct(*columns))
 
 
 def canonical(columns: list[str]) -> Column:
@@ -32,7 +39,7 @@ def canonical(columns: list[str]) -> Column:
     shortest form that reads back the same (1e-07, 1e+22, 10000000.0), and NaN, Infinity and -Infinity. Columns may be text, booleans, whole numbers, doubles,
     and arrays, structs and maps with text as keys of these; of other types (dates, decimals, bytes) there is no such form, and they stop the query.
     """
-    return F.arrow_udf(_dumped, "string")(F.struct(*sorted(columns)))
+    return F.arrow_udf(_dumper(sort_keys=True, separators=(",", ":")), "string")(F.struct(*sorted(columns)))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
@@ -22,12 +22,12 @@ from .calls import Calls, in_order, patient
 
 
 def transcribe(clips: DataFrame, spec: ModelSpec, batch: int = 32) -> DataFrame:
-    """utterance_id, text, confidence, no_speech, nbest, shard, model for each clip.
+    """utterance_id, text, confidence, no_speech, nbest, shard, model for each clip, and pos if clips have it.
 
     The model is made once a task. Within a task clips are ordered by length, so that a batch holds
     clips of like length; each result goes with its key, so no order has to be restored.
     """
-    make = factory_of(spec)
+    make, placed = factory_of(spec), "pos" in clips.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make(spec)
@@ -38,11 +38,35 @@ def transcribe(clips: DataFrame, spec: ModelSpec, batch: int = 32) -> DataFrame:
                 yield pd.DataFrame({
                     "utterance_id": part["utterance_id"].to_numpy(), "text": [g["text"] for g in got],
                     "confidence": pd.array([g.get("confidence") for g in got], "Float64"), "no_speech": pd.array([g.get("no_speech") for g in got], "Float64"),
-                    "nbest": [g.get("nbest") for g in got], "shard": part["shard"].to_numpy(),
+                    "nbest": [g.get("nbest") for g in got], "shard": part["shard"].to_numpy(), **({"pos": part["pos"].to_numpy()} if placed else {}),
                 })
 
     ordered = clips.sortWithinPartitions("shard", F.size("audio.samples"))
-    return ordered.mapInPandas(run, f"{HYPS}, shard int").withColumn("model", F.lit(spec.name))
+    return ordered.mapInPandas(run, f"{HYPS}, shard int{', pos long' if placed else ''}").withColumn("model", F.lit(spec.name))
+
+
+def run_transcriptions(clips: DataFrame, specs: Iterable[ModelSpec], folder: str, batch: int = 32, log: Callable[[str], None] = print) -> dict[str, str | None]:
+    """Each model's hypotheses of the clips (with shard and pos), by model and shard in folder; {model: None, or what went wrong}.
+
+    A model transcribes the shards that it has no output for, and none is made where it has all. A model that fails leaves no output and does not stop the
+    others; a later run takes it up again.
+    """
+    spark, by, out = clips.sparkSession, ("model", "shard"), {}
+    shards = saved(clips.select("shard").distinct())
+    for spec in specs:
+        asked = shards.withColumn("model", F.lit(spec.name))
+        left = saved(pending(asked, done_shards(spark, folder, by), *by))
+        if left.isEmpty():
+            log(f"{spec.name}: all shards are there")
+            out[spec.name] = None
+            continue
+        try:
+            write_stage(transcribe(clips.join(F.broadcast(left.select("shard")), "shard", "left_semi"), spec, batch), folder, by)  # a number for each file
+            out[spec.name] = None
+        except Exception as e:
+            out[spec.name] = str(e)
+            log(f"{spec.name} failed: {e}")
+    return out
 
 
 def fuse(meta: DataFrame, hyps: DataFrame, voters: list[str], weights: list[float] | None = None, advisory: str | None = None, airlines: dict[str, str] | None = None, keys: tuple[str, ...] = ("shard", "utterance_id")) -> DataFrame:

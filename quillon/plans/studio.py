@@ -13,6 +13,7 @@ from ..operators.worklist import BUDGET, flag_reviewed, plan_items, queue_counts
 from ..schemas import REVIEWS
 from ..session import saved
 from ..sinks.eventlog import EventLog
+from ..sinks.files import read_text, write_text
 
 
 class Studio:
@@ -51,6 +52,23 @@ class Studio:
     def queue(self) -> DataFrame:
         return review_queue(self._flagged())
 
+    def pin_queue(self, folder: str, page_rows: int = 1000) -> None:
+        """Saves the queue's order as it is now, page_rows items a file: what pages() reads, whatever verdicts come in later."""
+        pinned = self.queue().drop("reviewed").withColumn("_page", F.floor((F.col("position") - 1) / page_rows).cast("int"))
+        pinned.repartition("_page").sortWithinPartitions("_page", "position").write.mode("overwrite").partitionBy("_page").parquet(folder)
+        write_text(self.labels.sparkSession, f"{folder}/_page_rows", str(page_rows))
+
+    def page(self, folder: str, after: int = 0, size: int = 50) -> DataFrame:
+        """The size items of a pinned queue after a position, in order, with reviewed as it is now. The last position of a page is where the next begins.
+
+        Only the files that hold those positions are read: their numbers follow from the cursor.
+        """
+        page_rows = int(read_text(self.labels.sparkSession, f"{folder}/_page_rows"))
+        pinned = self.labels.sparkSession.read.parquet(folder)
+        files = F.col("_page").between(after // page_rows, (after + size - 1) // page_rows)
+        rows = pinned.filter(files & (F.col("position") > after) & (F.col("position") <= after + size)).drop("_page")
+        return flag_reviewed(rows, self.current().select("utterance_id")).orderBy("position")
+
     def plan(self, budget: int = BUDGET) -> DataFrame:
         rows = self._flagged()
         return plan_items(rows, review_plan(rows, budget))

@@ -18,13 +18,14 @@ from .functions.text import canonical_callsigns, normalize, present_tails, shard
 from .functions.voting import rover
 from .operators.context import conversation_window, group_tracks, neighbours
 from .operators.ensemble import agreement_score, classify_tier, clique_size, confidence_score, is_non_speech, pair_similarities
-from .operators.review import effective, published, replay, review_offset, training_rows
-from .operators.snapshot import shard_digests, snapshot_digest, tier_counts
+from .operators.review import effective, published, replay, review_offset, standing, training_rows
+from .operators.snapshot import canonical, shard_digests, snapshot_digest, tier_counts
 from .operators.tables import duration_buckets, join_voters, last_wins, next_unreviewed, pending, replica_of, shard_counts
 from .operators.worklist import boundary, calibration, flag_reviewed, gold_validation, queue_counts, review_plan, review_queue
 from .plans.stages import correction_prompt, fuse, transcript_grammar
 from .session import numbered
 from .sinks.effects import first_answers
+from .sources.parquet import zip_rows
 from .sources.shards import expand_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,6 +275,13 @@ def reviewed_ids(spark, sf_dir):
     return replay(events(spark, sf_dir)).select(F.col("utterance_id").alias("doc_id"))
 
 
+@query(f"""with {CURRENT_V}, stacks as (select *, min(depth) over (partition by doc_id order by seq rows between 1 following and unbounded following) as low from ev2)
+select doc_id, count(*) as standing, max(seq) as last_seq from stacks where action = 'set' and depth >= 1 and coalesce(low, depth) >= depth group by doc_id""")
+def review_standing(spark, sf_dir):
+    """What a desk keeps between requests: the sets on each key's stack."""
+    return standing(events(spark, sf_dir)).groupBy(F.col("utterance_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("standing"), F.max("seq").alias("last_seq"))
+
+
 @query("select coalesce(max(event_id) + 1, 0) as review_offset from events")
 def review_offset_next(spark, sf_dir):
     return review_offset(events(spark, sf_dir))
@@ -324,6 +332,22 @@ def snapshot_digest_all(spark, sf_dir):
     return snapshot_digest(_digests(spark, sf_dir))
 
 
+@query("""select doc_id, sha256('{"doc_id":' || doc_id || ',"lang":' || coalesce('"' || lang || '"', 'null') || ',"n_chars":' || coalesce(cast(n_chars as varchar), 'null')
+ || ',"source":' || coalesce('"' || source || '"', 'null') || '}') as digest from documents""")
+def canonical_json(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(canonical(["source", "n_chars", "lang", "doc_id"]), 256).alias("digest"))
+
+
+@query("""with o as (select row_number() over () - 1 as pos, o_orderkey from orders), c as (select row_number() over () - 1 as pos, c_custkey, c_name from customer)
+select o.pos, o_orderkey, c_custkey, c_name from o join c on o.pos = c.pos""")
+def rows_by_place(spark, sf_dir):
+    """The nth row of one file with the nth of another, each table being one shard."""
+    at = [F.lit(0).alias("shard"), F.col("_metadata.row_index").alias("pos")]
+    left = _table(spark, sf_dir, "orders").select(*at, "o_orderkey")
+    right = _table(spark, sf_dir, "customer").select(*at, "c_custkey", "c_name")
+    return zip_rows(left, right).drop("shard")
+
+
 # Worklist
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..schemas import REVIEWS
 from ..sources.jsonl import read_jsonl
 from ..sources.shards import file_names
-from .files import _path, create_only
+from .files import create_only, read_text
 
 _NAME = "{:019d}.jsonl"
 
@@ -41,15 +41,7 @@ class EventLog:
         if not found:
             return 0
         first, path = found[-1]
-        return first + self._lines(path)
-
-    def _lines(self, name: str) -> int:
-        path, fs = _path(self.spark, name)
-        opened = fs.open(path)
-        try:
-            return bytes(opened.readAllBytes()).count(b"\n")
-        finally:
-            opened.close()
+        return first + read_text(self.spark, path).count("\n")
 
     def append(self, events: list[dict], check: Callable[[int], None] | None = None) -> int:
         """Adds events as one segment, all or none, and gives the seq of the first. A seq in them is set here. check(seq) may raise before a try."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from urllib.parse import unquote
 
@@ -9,6 +11,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.review import published, training_rows
+from ..operators.snapshot import json_line, snapshot
 from ..operators.tables import pending
 
 
@@ -68,6 +72,16 @@ def write_text(spark: SparkSession, name: str, text: str) -> None:
     replace(spark, new, name)
 
 
+def read_text(spark: SparkSession, name: str) -> str:
+    """A small file as a whole."""
+    path, fs = _path(spark, name)
+    opened = fs.open(path)
+    try:
+        return bytes(opened.readAllBytes()).decode()
+    finally:
+        opened.close()
+
+
 def create_only(spark: SparkSession, name: str, data: bytes) -> bool:
     """Creates the file with its whole content, or gives False where the name is taken: of several writers one gets True."""
     new, fs = _write_new(spark, name, data)
@@ -117,30 +131,54 @@ def write_pending(rows: DataFrame, folder: str, by: tuple[str, ...] = ("shard",)
     write_stage(rows.join(F.broadcast(left), list(by), "left_semi"), folder, by)  # a few numbers for each file
 
 
-def publish_shards(rows: DataFrame, folder: str, card: str | None = None) -> tuple[int, int]:
-    """One shard-NNNNN.parquet for each shard, its rows in order of pos, and the card; (shards, rows).
+def publish_shards(rows: DataFrame, folder: str, card: str | None = None, form: str = "parquet") -> tuple[int, int]:
+    """One shard-NNNNN file for each shard, its rows in order of pos, and the card; (shards, rows).
 
     rows have shard and pos besides what is published. Each shard is sorted and written by one task as one file, which the
-    driver then renames.
+    driver then renames over what is there. form is parquet, or jsonl: lines as a plain serialiser writes them, columns in their order. Rows are counted as they are written.
     """
-    spark = rows.sparkSession
+    if form not in ("parquet", "jsonl"):
+        raise ValueError("form is 'parquet' or 'jsonl'")
+    spark, seen = rows.sparkSession, Observation()
     temp = f"{folder}/_new-{uuid.uuid4().hex}"
     named = rows.withColumn("_shard", F.col("shard"))
-    ordered = named.repartition("_shard").sortWithinPartitions("_shard", "pos").drop("pos", "shard")
-    ordered.write.option("maxRecordsPerFile", 0).partitionBy("_shard").parquet(temp)
+    if form == "jsonl":
+        named = named.select("_shard", "pos", "shard", json_line([c for c in rows.columns if c not in ("shard", "pos")]).alias("value"))
+    ordered = named.repartition("_shard").sortWithinPartitions("_shard", "pos").drop("pos", "shard").observe(seen, F.count(F.lit(1)).alias("n"))
+    written = ordered.write.option("maxRecordsPerFile", 0).partitionBy("_shard")
+    written.parquet(temp) if form == "parquet" else written.text(temp)
     base, fs = _path(spark, temp)
-    count = spark.read.parquet(temp).count() if fs.globStatus(_path(spark, f"{temp}/_shard=*")[0]) else 0
     shards = 0
-    for status in fs.globStatus(_path(spark, f"{temp}/_shard=*/*.parquet")[0]) or []:
+    for status in fs.globStatus(_path(spark, f"{temp}/_shard=*/part-*")[0]) or []:
         index = int(status.getPath().getParent().getName().partition("=")[2])
-        replace(spark, status.getPath(), f"{folder}/shard-{index:05d}.parquet")
+        replace(spark, status.getPath(), f"{folder}/shard-{index:05d}.{form}")
         shards += 1
     fs.delete(base, True)
+    count = seen.get["n"]
     if card is not None:
         write_text(spark, f"{folder}/README.md", fill_card(card, count, shards))
     return shards, count
 
 
+def write_dataset(rows: DataFrame, folder: str) -> tuple[int, int]:
+    """Effective labels (with shard and pos) as they are published, as JSON lines: (shards, rows)."""
+    return publish_shards(published(rows, "shard", "pos"), folder, form="jsonl")
+
+
+def write_trainset(rows: DataFrame, folder: str, tiers: tuple[str, ...] = ("gold", "silver")) -> tuple[int, int]:
+    """The training rows of effective labels (with shard and pos) as JSON lines: (shards, rows)."""
+    return publish_shards(training_rows(rows, tiers, "shard", "pos"), folder, form="jsonl")
+
+
+def write_snapshot(rows: DataFrame, events: DataFrame, folder: str, name: str, ts: float | None = None, tiers: list[str] | None = None) -> str:
+    """The snapshot of effective labels as <folder>/<name>.json, one line, in place of an earlier one; its path. A number for each shard is all the driver gets."""
+    if not name or "/" in name:
+        raise ValueError("a snapshot's name is the name of a file")
+    one = snapshot(rows, events, name, time.time() if ts is None else ts, tiers).first().asDict()
+    write_text(rows.sparkSession, f"{folder}/{name}.json", json.dumps(one) + "\n")
+    return f"{folder}/{name}.json"
+
+
 def fill_card(card: str, rows: int, shards: int) -> str:
     """The card with __N_ROWS__ (thousands apart) and __N_SHARDS__ filled in."""
     return card.replace("__N_ROWS__", f"{rows:,}").replace("__N_SHARDS__", str(shards))
