@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillon.llm import lm_score
 from quillon.llm.language import ContextTrees, Coder, build_trees, count_grams, identify, op2_language
 from quillon.llm.lm_score import CountFilter, level_counts, level_of, op1_lm_score, pair_hash, score_documents
-from quillon.llm.toxicity import SEED_TERMS, allowed_distance, build_automaton, find_terms, fit_toxicity, is_quoted, op3_toxicity, score_toxicity
+from quillon.llm.toxicity import SEED_TERMS, allowed_distance, build_automaton, find_terms, fit_toxicity, fit_windows, is_quoted, op3_toxicity, score_toxicity
 
 
 def crc(i):
@@ -244,6 +244,39 @@ def test_abuse_stays_abuse_and_mentions_are_told(spark):
         assert is_quoted(data, at, at + 5) is want, text
 
 
+def test_irony_and_turns_of_phrase_stay_abuse_and_reports_are_told():
+    for text, want in (
+        ('you are a "moron" and you know it', False), ("“moron” — that is you", False), ("in a word moron", False), ("en una palabra moron", False),
+        ("Sie nannten ihn moron", True), ("they called him a moron", True), ("they called you a moron", False), ('you wrote "moron" in the report', True),
+        ("in the report the word moron is used", True), ('"you and your friends are a moron" she read', True), ("mit dem „moron“ da", True),
+    ):
+        data = text.encode()
+        at = data.index(b"moron")
+        assert is_quoted(data, at, at + 5) is want, text
+
+
+def test_labels_set_what_quotation_says(spark):
+    # a forum that insults in quotation marks, and one that only reports
+    said = [(i, f'a day of {i} miles, "moron" and more' if i % 2 else f"a fine day of {i} miles") for i in range(200)]
+    docs = spark.createDataFrame(said, "doc_id long, text string")
+    marked = lambda toxic: spark.createDataFrame([(i, int(i % 2 and toxic)) for i in range(200)], "doc_id long, toxic int")
+    insults, reports = fit_toxicity(docs, marked(True)), fit_toxicity(docs, marked(False))
+    start = np.array(fit_windows())
+    assert insults.window[1] < start[1] - 2 and np.array_equal(insults.window[[0, 2, 3, 4, 5]], start[[0, 2, 3, 4, 5]]) and reports.window[1] >= start[1] - 0.1
+    asked = spark.createDataFrame([(1, 'a "moron" and more'), (2, "a fine day")], "doc_id long, text string")
+    got = {r["doc_id"]: r["_toxicity"]["score"] for r in score_toxicity(asked, insults).collect()}
+    assert got[1] > 0.7 > got[2]
+    assert all(r["_toxicity"]["score"] < 0.5 for r in score_toxicity(asked, reports).collect())
+
+
+def test_terms_beyond_a_hundred_are_learned(spark):
+    name = lambda i: "".join("abcdefghij"[int(d)] for d in f"{i:03d}")
+    rows = [(i, f"xq{name(i // 12)}zk some plain words of day {i}") for i in range(2640)] + [(10_000 + i, f"some plain words of day {i}") for i in range(8000)]
+    model = fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i < 10_000 and i // 12 % 2)) for i, _ in rows], "doc_id long, toxic int"))
+    learned = [t for t in model.automaton.terms if t not in SEED_TERMS]
+    assert len(learned) == 110 and all(any(f"xq{name(k)}zk".startswith(t.removesuffix("*")) for t in learned) for k in range(1, 220, 2))
+
+
 def test_edits_are_letters_and_case_is_folded():
     auto = build_automaton(["größenwahn", "idiot", "дурак", "réê*"])
     text = "GRÖSSENWAHN größenwähn GROßENWAHN idiöt ІДІОТ ДУРАК дурик „idiot“ RÉÊou idïöt".encode()
