@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -53,8 +54,10 @@ COUNTER = r"(?i)\b(?:is[bs]n|imei|pages?|pp|seiten?|p[áa]ginas?|parts?|version|
 #: Top-level domains that a spelt-out address ends in, for what an address of one's own may be.
 TOPS = r"(?i)\b(?:com|org|net|edu|gov|io|info|[a-z]{2})$"
 CONTEXT = 24
-#: Tasks that the bounded sample of planted spans is spread over.
-PARTS = 32
+#: Spans are planted by tasks of that many documents; a small table is spread over PARTS tasks all the same.
+PLANT_ROWS, PARTS = 1 << 13, 32
+#: Thresholds are multiples of 1 / GRID.
+GRID = 10_000
 
 
 #: Elements of an array that are gone through at once; appending to an array copies it.
@@ -294,9 +297,9 @@ def planted(h: Column) -> list[tuple]:
     return [(*x, LEADS[x[0]])[:4] for x in spans]
 
 
-def planted_rows(docs: DataFrame, forms: int | None = None) -> DataFrame:
+def planted_rows(docs: DataFrame, forms: int | None = None, parts: int = PARTS) -> DataFrame:
     """_text, _u to _text, _u, _k, _s, _e, _good: planted spans, each in a stretch of a document, at a place that a hash picks. A document gets
-    all forms, or as many draws of one as forms says."""
+    all forms, or as many draws of one as forms says; parts tasks share the work."""
     every = planted(F.col("_h"))
     lead_of = lambda i, leads: F.element_at(F.array(*[F.lit(x) for x in leads]), (F.pmod(F.xxhash64("_h", F.lit(100 + i)), F.lit(len(leads))) + 1).cast("int"))
     span = lead = kind = good = F.lit(None)
@@ -311,7 +314,7 @@ def planted_rows(docs: DataFrame, forms: int | None = None) -> DataFrame:
     near = docs.select("_text", "_u", F.xxhash64("_text", F.lit(21)).alias("_h")).select(
         "_u", "_h", F.regexp_replace(F.substring("_text", F.greatest(at - 60, F.lit(0)) + 1, F.least(at, F.lit(60))), r"\S*$", "").alias("_pre"),
         F.regexp_replace(F.substring("_text", at + 1, F.lit(60)), r"^\S*", "").alias("_post"),
-    ).repartition(PARTS, "_h", "_u")
+    ).repartition(parts)
     near = near.select("_u", "_h", "_pre", "_post", F.explode(draws).alias("_i"))
     near = near.select("*", kind.alias("_k"), good.alias("_good"), lead.alias("_lead"), span.alias("_span"))
     tail = F.element_at(F.array(*[F.lit(x) for x in (" ", ". ", ", ", "\n", "")]), (F.pmod(F.xxhash64("_h", F.col("_k")), F.lit(5)) + 1).cast("int"))
@@ -352,49 +355,48 @@ def probability(model: SpanModel, x: list[Column]) -> Column:
 
 
 def fit_spans(
-    docs: DataFrame, train_docs: int = 10_000, plant_docs: int = 3000, trees: int = 16, depth: int = 4, precision: float = 0.98, least: int = 20,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> SpanModel | None:
-    """Boosted trees from the candidates of about train_docs documents and spans planted in about plant_docs of them (by a hash of the id), or None without any.
+    docs: DataFrame, plants: int = 36_000, trees: int = 16, depth: int = 4, precision: float = 0.98, least: int = 20, id_col: str = "doc_id", text_col: str = "text"
+) -> SpanModel | None:
+    """Boosted trees from the candidates of all documents, whole texts, and spans planted in each of them, or None without any.
 
     Base matches need no trees and are left out. Right are planted forms that no base pattern has, found from end to end; wrong are planted near
     misses, all other candidates around them, and what the documents' own texts offer, but for what may well be right (untold): that teaches nothing.
-    Three quarters of the documents grow the trees; the others calibrate: a kind's threshold is the lowest
-    probability, 0.5 at least, from which its candidates reach the precision. A kind with under least of them selects nothing.
-    Some 36,000 spans are planted, or each form once in each document where that is fewer. Rows that agree in all features are one with a weight.
+    Three quarters of the documents (by a hash of the id) grow the trees; the others calibrate: a kind's threshold is the lowest
+    multiple of 1 / GRID, 0.5 at least, from which its candidates reach the precision. A kind with under least of them selects nothing.
+    Each document gets one draw of the forms at least. In tables of fewer than plants documents it gets as many more as make some plants spans, or each form once where that
+    is fewer. Rows that agree in all features are one with a weight. Where trees may split is found from all these rows: with the square root of their number as bins, Spark's trees draw no sample of them.
     """
-    docs_seen = docs.count()
-    share = min(1.0, train_docs / max(docs_seen, 1))
+    n_docs = docs.count()
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(10)), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.select(text_or_empty(text_col).alias("_text"), draw.alias("_u")).filter(F.col("_u") < share)
+    rows = docs.select(text_or_empty(text_col).alias("_text"), draw.alias("_u"))
     own = rows.select("_u", F.explode(candidates(F.col("_text"))).alias("_c")).filter(~untold(F.col("_c"))).withColumn("_label", F.lit(False))
-    planting = min(docs_seen * share, plant_docs)
-    fewer, forms = min(1.0, plant_docs / max(docs_seen * share, 1)), max(12, round(12 * plant_docs / max(planting, 1)))
-    some = rows.filter(F.pmod(F.xxhash64("_u"), F.lit(1 << 20)) < float(1 << 20) * fewer)
-    made = planted_rows(some, forms if forms < 50 else None).select("_u", "_k", "_s", "_e", "_good", F.explode(candidates(F.col("_text"))).alias("_c"))
+    forms, parts = max(1, round(plants / max(n_docs, 1))), max(PARTS, n_docs // PLANT_ROWS)
+    made = planted_rows(rows, forms if forms < 50 else None, parts).select("_u", "_k", "_s", "_e", "_good", F.explode(candidates(F.col("_text"))).alias("_c"))
     whole = (F.col("_c.k") == F.col("_k")) & (F.col("_c.s") == F.col("_s")) & (F.col("_c.e") == F.col("_e"))
     told = (F.col("_c.s") < F.col("_e")) & (F.col("_s") < F.col("_c.e"))
     each = own.unionByName(made.filter(told).select("_u", "_c", (whole & F.col("_good")).alias("_label"))).filter(~truth(F.col("_c")))
     x = features(F.col("_c"))
     names = [f"f{i}" for i in range(len(x))]
-    each = each.select((F.col("_u") >= 0.75 * share).alias("_check"), F.col("_c.k").alias("_k"), F.col("_label").cast("double").alias("label"), *[c.alias(n) for c, n in zip(x, names, strict=True)])
+    each = each.select((F.col("_u") >= 0.75).alias("_check"), F.col("_c.k").alias("_k"), F.col("_label").cast("double").alias("label"), *[c.alias(n) for c, n in zip(x, names, strict=True)])
     data = saved(each.groupBy(*each.columns).agg(F.count(F.lit(1)).cast("double").alias("weight")))
     grow = data.filter(~F.col("_check"))
-    if {r[0] for r in grow.select("label").distinct().collect()} != {0.0, 1.0}:
+    sizes = {r["label"]: r["count"] for r in grow.groupBy("label").count().collect()}
+    if sizes.keys() != {0.0, 1.0}:
         return None
     ready = VectorAssembler(inputCols=names, outputCol="features").transform(grow).select("features", "label", "weight")
-    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=48, stepSize=0.3, seed=1, weightCol="weight").fit(ready)
+    bins = max(48, math.isqrt(sum(sizes.values())) + 1)  # Spark looks at bins ** 2 rows for the places of its splits; a feature has no more bins than values
+    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=bins, stepSize=0.3, seed=1, weightCol="weight").fit(ready)
     jtrees = list(fitted._call_java("trees"))
     model = SpanModel([_read_tree(t.rootNode()) for t in jtrees], list(fitted.treeWeights), [2.0] * len(ALL_KINDS))
-    cells = data.filter("_check").groupBy("_k", probability(model, [F.col(n) for n in names]).alias("p")).agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
-    held = cells.collect()  # a cell for each set of leaves
+    p = F.floor(probability(model, [F.col(n) for n in names]) * GRID).cast("long")
+    held = data.filter("_check").groupBy("_k", p.alias("p")).agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).collect()  # GRID + 1 cells a kind at most
     for k in range(len(ALL_KINDS)):
-        own = sorted(((r["p"], r["good"], r["n"]) for r in held if r["_k"] == k), reverse=True)
+        cells = sorted(((r["p"], r["good"], r["n"]) for r in held if r["_k"] == k), reverse=True)
         good = n = 0.0
-        for p, g, m in own:
+        for p, g, m in cells:
             good, n = good + g, n + m
             if good >= precision * n and n >= least:
-                model.thresholds[k] = max(p, 0.5)
+                model.thresholds[k] = max(p / GRID, 0.5)
     return model
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from quillon.llm import pii
 from quillon.llm.licenses import BAND, TEMPLATES, banded_alignment, build_index, op5_licenses, scan_licenses, scan_texts
 from quillon.llm.pii import ALL_KINDS, KINDS, candidates, find_pii, fit_spans, op10_pii, planted_rows, span_list
 
@@ -134,6 +135,30 @@ def test_a_generator_reaches_every_planted_form(spark):
     assert found > 300 and len(lost) <= 0.03 * found, [(r["_k"], r["_text"]) for r in lost[:9]]  # a digit of the text beside a span may join it
 
 
+def test_trees_learn_from_every_document(spark, monkeypatch):
+    """All of 10,400 documents give their own candidates and get a planted span; a fit on a part of them gives fewer."""
+    n, seen = 10_400, {}
+    docs = spark.range(0, n, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("release 300.301.302.303 of "), F.col("id")).alias("text"))
+    plant, keep = pii.planted_rows, pii.saved
+
+    def planting(rows, *more):
+        made = plant(rows, *more)
+        seen["planted"] = made.select("_u").distinct().count()
+        return made
+
+    def saving(df):
+        seen["data"] = keep(df)
+        raise StopIteration  # what follows reads nothing but these rows
+
+    monkeypatch.setattr(pii, "planted_rows", planting)
+    monkeypatch.setattr(pii, "saved", saving)
+    with pytest.raises(StopIteration):
+        fit_spans(docs)
+    ip = ALL_KINDS.index("ip")
+    own = seen["data"].filter(f"_k = {ip} and label = 0 and f{len(ALL_KINDS)} = 15 and f{len(ALL_KINDS) + 4} = 3").agg(F.sum("weight")).first()[0]
+    assert own >= n and seen["planted"] >= n - 5  # hashes of 30 bits may agree
+
+
 def test_many_matches_of_a_text_stay_linear(span_model, spark):
     text, took, model = "12 a@b.c " * 40_000, [], span_model
     for t in ("12 a@b.c ", text):
