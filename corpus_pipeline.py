@@ -40,6 +40,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates: five-word shingles, a Jaccard similarity of 0.8 or more.
 
+    SimHash links within 3 bits (op4's operator: pigeonring candidates, Hamming check, components) are met first; pairs that they leave apart come from bands. Each link is checked on the sets.
     The smallest id stays, a null id only where the group has no other; of rows with that id, the first as saved here.
     """
     nth = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.monotonically_increasing_id().alias("row"))

@@ -1,4 +1,4 @@
-"""Near duplicates by word shingles: MinHash bands for candidates, exact Jaccard check, components."""
+"""Near duplicates by word shingles: SimHash links, MinHash bands for pairs too many bits apart, exact Jaccard check of both, components."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ._common import saved
 from .lm_score import mixed
-from .simhash import SEED, components
+from .simhash import SEED, bits_of, components, near_edges, shingle_hashes
 from .textbytes import each_text
 
 #: Words of a shingle, and the least share of shingles that two near duplicates have in common.
@@ -30,15 +30,7 @@ _FACTORS = mixed(_MASKS) | np.uint64(1)
 
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles; a text of fewer words is one shingle, no words are none."""
-    words = text.lower().split()  # both look at ASCII only, and split at \x20 and \x09-\x0D
-    if not words:
-        return np.zeros(0, np.uint64)
-    n = max(len(words) - width + 1, 1)
-    joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
-    starts = np.concatenate(([0], ends[:-1]))[:n].tolist()
-    stops = (ends[min(width, len(words)) - 1 :] - 1).tolist()
-    digest, view = xxhash.xxh64_intdigest, memoryview(joined)
-    return np.unique(np.array([digest(view[a:b], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64))
+    return np.unique(shingle_hashes(text, width))
 
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -77,14 +69,14 @@ def _sets(width: int):
 def _prints(width: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, keys = np.zeros(len(texts), np.uint64), np.zeros((len(texts), BANDS), np.int64)
+            names, prints, keys = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64), np.zeros((len(texts), BANDS), np.int64)
             for i, text in enumerate(each_text(texts)):  # one set at a time is in memory
                 hashes = shingle_set(text, width)
-                names[i], keys[i] = _set_name(hashes), band_keys(hashes)
+                names[i], prints[i], keys[i] = _set_name(hashes), bits_of(hashes), band_keys(hashes)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-            yield pa.StructArray.from_arrays([pa.array(names.view(np.int64)), lists], names=["set", "keys"])
+            yield pa.StructArray.from_arrays([pa.array(names.view(np.int64)), pa.array(prints.view(np.int64)), lists], names=["set", "fp", "keys"])
 
-    return F.arrow_udf(run, "struct<set:long,keys:array<long>>")
+    return F.arrow_udf(run, "struct<set:long,fp:long,keys:array<long>>")
 
 
 def jaccard(one: pa.Array, two: pa.Array) -> pa.Array:
@@ -96,6 +88,26 @@ def jaccard(one: pa.Array, two: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def simhash_pairs(distinct: DataFrame, budget: int) -> DataFrame:
+    """(_u, _v), pairs of sets (_set, _fp) that their fingerprints link: a tree for all sets that such links join.
+
+    Sets of one fingerprint meet the first of them, and the first ones meet as near_edges (ring keys, chain test, Hamming check) says.
+    """
+    firsts = saved(distinct.groupBy("_fp").agg(F.min("_set").alias("_first")))
+    same = distinct.join(firsts, "_fp").filter("_set != _first").select(F.col("_set").alias("_u"), F.col("_first").alias("_v"))
+    one, two = (firsts.select(F.col("_fp").alias(n), F.col("_first").alias(f"{n}s")) for n in ("_u", "_v"))
+    near = near_edges(firsts.select("_fp"), budget).join(one, "_u").join(two, "_v").select(F.col("_us").alias("_u"), F.col("_vs").alias("_v"))
+    return same.union(near)
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (_u, _v) whose ends joined has not joined."""
+    root = joined.select(F.col("_node").alias("_n"), F.col("_root").alias("_r"))
+    for end in ("_u", "_v"):
+        pairs = pairs.join(root, F.col(end) == F.col("_n"), "left").withColumn(f"{end}r", F.coalesce("_r", end)).drop("_n", "_r")
+    return pairs.filter("_ur != _vr").select("_u", "_v")
+
+
 def _merged(joined: DataFrame | None, edges: DataFrame) -> DataFrame:
     """(_node, _root) after edges join what joined (the same, or None) has joined so far: only the roots that edges touch are worked on."""
     if joined is None:
@@ -166,30 +178,37 @@ def _open_links(least: float):
 
 
 def shingle_duplicates(
-    docs: DataFrame, width: int = WIDTH, least: float = LEAST, block: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, width: int = WIDTH, least: float = LEAST, block: int = BLOCK_BYTES, budget: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id, component_id, the smallest id that links reach, the document's own included.
 
     Documents link when least of their distinct shingles of width words are common to both (Jaccard), which is
-    checked on the whole sets (hashes of 32 bits). Texts with one set fold into one row before candidates are made. Candidates
-    share a band. They are checked against one member of the bucket first. In a bucket of which that leaves several groups, members of
+    checked on the whole sets (hashes of 32 bits). Texts with one set fold into one row before candidates are made. What SimHash links, fingerprints of sets within budget
+    bits, is checked first. Candidates for the rest share a band, so that a link of more bits, or one whose tree of SimHash links the check breaks, is not lost:
+    those that are not joined yet are checked against one member of the bucket. In a bucket of which that leaves several groups, members of
     different groups are then checked with each other in the task that holds their sets, so that pairs are no rows; a bucket of over block
     bytes is cut into blocks by a hash, and each pair of its blocks is a bucket of its own. A null or blank text has the empty set. A null id
     is never the smallest while another id is there. Rows that repeat an id give a row each.
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("_id"), _prints(width)(text).alias("_p"))
-    prints = saved(rows.select("_id", F.col("_p.set").alias("_set"), F.col("_p.keys").alias("_keys")))
-    distinct = saved(prints.groupBy("_set").agg(F.min("_id").alias("_first"), F.first("_keys").alias("_keys")))
+    prints = saved(rows.select("_id", F.col("_p.set").alias("_set"), F.col("_p.fp").alias("_fp"), F.col("_p.keys").alias("_keys")))
+    distinct = saved(prints.groupBy("_set").agg(F.min("_id").alias("_first"), F.first("_fp").alias("_fp"), F.first("_keys").alias("_keys")))
+    linked = saved(simhash_pairs(distinct.select("_set", "_fp"), budget))
     keyed = distinct.select("_set", F.explode("_keys").alias("_key"))
     shared = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min_by("_set", F.xxhash64("_set")).alias("_lead")).filter("_n > 1")
     keyed = saved(keyed.join(shared, "_key").select("_key", "_set", "_n", "_lead"))
     every = docs.select(_sets(width)(text).alias("_s")).select(F.col("_s.set").alias("_set"), F.col("_s.hashes").alias("_hashes"))
-    sets = saved(every.join(keyed.select("_set").distinct(), "_set", "left_semi").dropDuplicates(["_set"]))
+    needed = keyed.select("_set").union(linked.select("_u")).union(linked.select("_v")).distinct()
+    sets = saved(every.join(needed, "_set", "left_semi").dropDuplicates(["_set"]))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return saved(pairs.join(one, "_u").join(two, "_v").filter(F.arrow_udf(jaccard, "double")("_uh", "_vh") >= least).select("_u", "_v"))
 
     pairs = keyed.filter("_set != _lead").select(F.greatest("_set", "_lead").alias("_u"), F.least("_set", "_lead").alias("_v")).distinct()
     one, two = (sets.select(F.col("_set").alias(n), F.col("_hashes").alias(f"{n}h")) for n in ("_u", "_v"))
-    joined = _merged(None, saved(pairs.join(one, "_u").join(two, "_v").filter(F.arrow_udf(jaccard, "double")("_uh", "_vh") >= least).select("_u", "_v")))
+    joined = _merged(None, checked(linked))
+    joined = _merged(joined, checked(_apart(pairs, joined)))
 
     live = keyed.filter("_n > 2").join(joined, keyed["_set"] == joined["_node"], "left").select("_key", "_set", F.coalesce("_root", "_set").alias("_root"))
     live = live.join(sets.select("_set", F.octet_length("_hashes").alias("_bytes")), "_set")

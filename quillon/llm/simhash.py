@@ -22,24 +22,32 @@ BLOCK = 4096
 VOTES = 1 << 16
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """A bit is 1 if it is set in over half the hashes of the text's shingles; no words: 0."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """A hash for each shingle of the text, repeats included; a text of fewer words is one shingle, no words are none."""
     words = text.lower().split()  # both look at ASCII only, and split at \x20 and \x09-\x0D
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     n = max(len(words) - width + 1, 1)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))[:n].tolist()
     stops = (ends[min(width, len(words)) - 1 :] - 1).tolist()
     digest, view = xxhash.xxh64_intdigest, memoryview(joined)
-    hashes = np.array([digest(view[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
-    votes = np.zeros(BITS, np.int64)
+    return np.array([digest(view[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes; none: 0."""
+    n, votes = len(hashes), np.zeros(BITS, np.int64)
     for at in range(0, n, VOTES):
         part = hashes[at : at + VOTES]
         votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, width: int = 3) -> int:
+    return bits_of(shingle_hashes(text, width))
+
+
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
@@ -222,9 +230,9 @@ def near_duplicates(
     smallest id that links reach, the document's own included. Exact copies and other documents
     with one fingerprint fold into one row before candidates are made, so copies make no pairs.
 
-    With least, documents link when their sets of shingles have that Jaccard similarity, and the fingerprint is left out. 64 bits
-    cannot tell that (at 0.8 some 10 bits differ, and a ring of segments that short keeps nearly all pairs), so the candidates
-    then come from shingle_duplicates.
+    With least, documents link when their sets of shingles have that Jaccard similarity, and the row has id and component_id. What fingerprints of the sets link
+    within budget bits, by the same candidates and the same Hamming check, is then checked on the sets. 64 bits cannot reach the rest (at 0.8 some 10 bits differ, and a ring of
+    segments that short keeps nearly all pairs), so pairs that this leaves apart have candidates of their own: see shingle_duplicates.
 
     A null or blank text has the fingerprint 0 and links like any other. Whole texts are hashed,
     of any length. A null id is never the smallest while another id is there. Rows that repeat an id give
@@ -235,7 +243,7 @@ def near_duplicates(
     if least is not None:
         from .shingle_dedup import shingle_duplicates  # it takes components() from here
 
-        return shingle_duplicates(docs, width, least, id_col=id_col, text_col=text_col)
+        return shingle_duplicates(docs, width, least, budget=budget, id_col=id_col, text_col=text_col)
     prints = saved(
         with_fingerprint(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", width).select("_id", "_fp")
     )

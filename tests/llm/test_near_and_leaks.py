@@ -6,9 +6,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillon.llm.decontaminate import OP7_SQL, find_leaks, op7_decontaminate
-from quillon.llm import simhash
+from quillon.llm import shingle_dedup, simhash
 from quillon.llm.shingle_dedup import bucket_links, shingle_duplicates
-from quillon.llm.simhash import chain_start, components, fingerprint, forest, near_duplicates, near_edges, op4_simhash, ring_keys
+from quillon.llm.simhash import SEED, chain_start, components, fingerprint, forest, near_duplicates, near_edges, op4_simhash, ring_keys
 
 from ..compare import duckdb_rows, rows_of
 
@@ -118,6 +118,35 @@ def test_similar_documents_against_all_pairs(spark, block):
     assert got == union(range(len(texts)), links) and len(links) > 100
 
 
+def test_similar_documents_are_met_by_fingerprints_first(spark, monkeypatch):
+    """Each two fingerprints of sets within 3 bits are linked, as all pairs say, and only what the sets bear out is kept."""
+    rng, seen, real = random.Random(35), [], near_edges
+
+    def spy(fps, budget, *more):
+        edges = real(fps, budget, *more)
+        seen.append(({r[0] % 2**64 for r in fps.collect()}, budget, [(r[0] % 2**64, r[1] % 2**64) for r in edges.collect()]))
+        return edges
+
+    monkeypatch.setattr(shingle_dedup, "near_edges", spy, raising=False)
+    texts = []
+    for n in range(60):
+        text = [f"w{rng.randrange(10**5)}" for _ in range(400)]
+        texts += [text, text[:-1] + [f"x{n}"], text + ["y"] * (1 + n % 3)]
+    texts += [[], ["a"], ["b"]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, width=5, least=0.8).collect()}
+
+    def plain(words):
+        hashes = [xxhash.xxh64_intdigest(s.encode(), SEED) for s in _shingles(words)]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if words else 0
+
+    fps = {plain(t) for t in texts}
+    links = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3]
+    assert [(f, b) for f, b, _ in seen] == [(fps, 3)] and len(links) > 40
+    assert union(fps, seen[0][2]) == union(fps, links)
+    assert got == {i: i - i % 3 if i < 180 else i for i in range(len(texts))}
+
+
 def test_bucket_links_find_what_all_pairs_do():
     rng = random.Random(34)
     for _ in range(30):
