@@ -28,10 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def saved(df: DataFrame, compression: str = "snappy") -> DataFrame:
+def saved(df: DataFrame, compression: str = "snappy", **options: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read back: later steps start from the files, so a lost executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/quillon-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from heapq import heappop, heappush, heappushpop
 from itertools import chain
@@ -11,11 +12,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import UPPER, lower_ascii, saved, table, text_or_empty
-from .textbytes import each_text
+from .textbytes import each_text, spans
 
 #: Fixed value: what a term is made of, as a Java or RE2 pattern.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -24,6 +25,11 @@ TOP = 50
 SHARD_BYTES, BLOCK_TERMS = 1 << 22, 1_000_000
 #: Nodes of a tree that are opened together.
 STEP = 64
+#: An Arrow batch to a Python worker takes no further row from so many bytes on, and a row group of the saved index none either: so tasks hold a shard or two, however many there are.
+BATCH_BYTES = 1 << 20
+_ROW_GROUPS = {
+    "parquet.block.size": str(BATCH_BYTES), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false",
+}
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0
@@ -71,9 +77,46 @@ def term_weight(df: int, docs: int) -> int:
     return math.floor(1000 * math.log((2 * docs + 2) / (2 * df + 1)))
 
 
-_SHARD = {
-    "terms": pa.list_(pa.string()), "starts": pa.binary(), "bits": pa.binary(), "zeros": pa.binary(), "bounds": pa.binary(), "scale": pa.binary(), "impacts": pa.binary(),
-}
+_TREE = ("starts", "bits", "zeros", "bounds", "scale", "impacts")
+#: The columns of a saved shard beside its number and its ids, each packed.
+_SHARD = ("ends", "letters", *_TREE)
+
+
+def packed(data) -> bytes:
+    """Compressed by the task itself, so that the JVM handles small values only; begins with the size."""
+    return memoryview(data).nbytes.to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def unpacked(value: pa.Scalar) -> bytes:
+    whole = value.as_buffer()
+    size = int.from_bytes(whole[:8].to_pybytes(), "little")
+    return pa.Codec("zstd").decompress(whole[8:], size, asbytes=True) if size else b""
+
+
+def packed_terms(terms: pa.StringArray) -> tuple[bytes, bytes]:
+    """(where each term ends, their bytes)."""
+    data, at = spans(terms)
+    return packed(at[1:].astype(np.int32).tobytes()), packed(data.tobytes())
+
+
+def unpacked_terms(ends: pa.Scalar, letters: pa.Scalar) -> pa.StringArray:
+    at = np.concatenate((np.zeros(1, np.int32), np.frombuffer(unpacked(ends), np.int32)))
+    return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(unpacked(letters)))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, at_most: int = BATCH_BYTES):
+    """Within it, this session's queries send Arrow batches that end from so many bytes on."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(at_most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def build_tree(texts: list[bytes], docs: int, terms: int) -> dict:
@@ -202,9 +245,8 @@ def _index(docs: int, terms: int, shard_bytes: int):
             order = pc.array_sort_indices(all_ids, null_placement="at_end")
             made = build_tree([texts[i] for i in order.to_pylist()], docs, terms)
             cols = [pa.array([(part << 32) + nth]), pa.ListArray.from_arrays(pa.array([0, len(order)], pa.int32()), all_ids.take(order))]
-            for name, kind in _SHARD.items():
-                one = made[name]
-                cols.append(pa.ListArray.from_arrays(pa.array([0, len(one)], pa.int32()), one) if name == "terms" else pa.array([one], kind))
+            for one in (*packed_terms(made["terms"]), *(packed(made[c]) for c in _TREE)):
+                cols.append(pa.array([one], pa.binary()))
             return pa.RecordBatch.from_arrays(cols, names=["shard", "ids", *_SHARD])
 
         for batch in batches:
@@ -238,13 +280,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Terms are the maximal matches of TERM, A-Z lower-cased, in the whole text; a null text has none. Texts are read twice, once for the size of the corpus, which every
     impact needs, and once by the tasks that make a tree of each shard_bytes of text; no text is shuffled, and a task holds one shard at a time. Within a shard
-    documents are numbered by id, null ids last; rows that repeat are documents of their own. An empty table gives an index without shards.
+    documents are numbered by id, null ids last; rows that repeat are documents of their own. An empty table gives an index without shards. A shard is packed by its
+    task, and row groups and batches end with the shard that fills them, so no step's memory follows the number of shards.
     """
-    size = corpus_size(docs, text_col)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"shard long, ids array<{kind}>, terms array<string>, " + ", ".join(f"{c} binary" for c in _SHARD if c != "terms")
-    return RankedIndex(saved(rows.mapInArrow(_index(*size, shard_bytes), schema), "zstd"), *size)
+    schema = f"shard long, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in _SHARD)
+    with small_batches(docs.sparkSession):
+        size = corpus_size(docs, text_col)
+        return RankedIndex(saved(rows.mapInArrow(_index(*size, shard_bytes), schema), "none", **_ROW_GROUPS), *size)
 
 
 def query_terms(text: Column) -> Column:
@@ -257,9 +301,9 @@ def _frequencies(wanted):
         terms = pa.array(wanted.value, pa.string())
         total = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for own, starts in zip(batch.column("terms"), batch.column("starts"), strict=True):
-                at = pc.index_in(terms, value_set=own.values).fill_null(-1).to_numpy()
-                total += np.where(at >= 0, np.append(np.diff(np.frombuffer(starts.as_py(), np.int64)), 0)[at], 0)
+            for ends, letters, starts in zip(*(batch.column(c) for c in ("ends", "letters", "starts")), strict=True):
+                at = pc.index_in(terms, value_set=unpacked_terms(ends, letters)).fill_null(-1).to_numpy()
+                total += np.where(at >= 0, np.append(np.diff(np.frombuffer(unpacked(starts), np.int64)), 0)[at], 0)
         some = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "df"])
 
@@ -273,8 +317,8 @@ def _search(shared, k: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = batch.column("ids")[i].values
-                at = pc.index_in(names, value_set=batch.column("terms")[i].values).fill_null(-1).to_numpy()
-                tree = WaveletTree(len(ids), *(batch.column(c)[i].as_py() for c in _SHARD if c != "terms"))
+                at = pc.index_in(names, value_set=unpacked_terms(batch.column("ends")[i], batch.column("letters")[i])).fill_null(-1).to_numpy()
+                tree = WaveletTree(len(ids), *(unpacked(batch.column(c)[i]) for c in _TREE))
                 asked, docs, scores = [], [], []
                 for query, terms in queries:
                     own = at[terms]
@@ -309,12 +353,14 @@ def search(
         names = list(dict.fromkeys(chain.from_iterable(r["_terms"] for r in rows)))
         place = {t: i for i, t in enumerate(names)}
         wanted = spark.sparkContext.broadcast(names)
-        told = index.shards.select("terms", "starts").mapInArrow(_frequencies(wanted), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+        with small_batches(spark):
+            told = index.shards.select("ends", "letters", "starts").mapInArrow(_frequencies(wanted), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
         weights = np.zeros(len(names), np.int64)
         for r in told:
             weights[r["term"]] = term_weight(r["df"], index.docs)
         shared = spark.sparkContext.broadcast((names, weights, [(r["_q"], np.array([place[t] for t in r["_terms"]], np.int64)) for r in rows]))
-        out.append(saved(index.shards.mapInArrow(_search(shared, k), f"_q long, _shard long, _id {kind}, _score long")))
+        with small_batches(spark):
+            out.append(saved(index.shards.mapInArrow(_search(shared, k), f"_q long, _shard long, _id {kind}, _score long")))
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)

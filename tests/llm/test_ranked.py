@@ -4,8 +4,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
+from quillon.llm import ranked
 from quillon.llm.ranked import OP13_SQL, WaveletTree, build_index, build_tree, op13_ranked, search, term_places, term_weight
 
 from ..compare import duckdb_rows, rows_of
@@ -109,3 +111,37 @@ def test_search_of_nothing(spark):
     assert search(build_index(docs), queries).count() == 0
     some = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     assert search(build_index(some), queries.limit(0)).count() == 0
+
+
+def test_tasks_hold_few_shards_at_once(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(1 << 30)}" for _ in range(30_000)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    queries = spark.createDataFrame([(1, f"{texts[7][:50]} {texts[3][-50:]}")], "item_id long, text string")
+    sizes, key = spark.sparkContext.accumulator(0), "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def watched(made):
+        def of(*args):
+            run = made(*args)
+
+            def told(batches):
+                for batch in batches:
+                    sizes.add(batch.num_rows)
+                    assert batch.nbytes < 3 << 20
+                    yield batch
+
+            return lambda batches: run(told(batches))
+
+        return of
+
+    for name in ("_index", "_frequencies", "_search"):
+        monkeypatch.setattr(ranked, name, watched(getattr(ranked, name)))
+    before = spark.conf.get(key)
+    index = build_index(docs, shard_bytes=300_000)
+    assert spark.conf.get(key) == before
+    groups = [pq.read_metadata(f.removeprefix("file://")) for f in index.shards.inputFiles()]
+    assert sum(m.num_rows for m in groups) == 12
+    assert all(m.row_group(i).total_byte_size < 3 << 20 for m in groups for i in range(m.num_row_groups))
+    want = plain_search(list(enumerate(texts)), [f"{texts[7][:50]} {texts[3][-50:]}"], 50)[0]
+    assert [(r["score"], r["doc_id"]) for r in search(index, queries).orderBy("rank").collect()] == want
+    assert spark.conf.get(key) == before and sizes.value == 36
